@@ -177,9 +177,11 @@ def roster_rows(snapshots: DataFrame) -> DataFrame:
 
 
 # --- whole bronze build -------------------------------------------------------
-def build_bronze(feed: DataFrame, lookup: DataFrame | None, buckets: int = X.DEFAULT_BUCKETS,
+def build_bronze(feed: DataFrame, roster_members: DataFrame | None, buckets: int = X.DEFAULT_BUCKETS,
                  broadcast_max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Feed documents (with raw_key) -> (games_core, player_game_facts), bucketed."""
+    """Feed documents (with raw_key) + (title, username) roster memberships ->
+    (games_core, player_game_facts), both with their bucket column."""
+    lookup = title_lookup(roster_members) if roster_members is not None else None
     merged = merge_games(explode_feed(feed))
     merged = merged.withColumn("white_username", F.col("white.username")).withColumn(
         "black_username", F.col("black.username"))

@@ -170,3 +170,64 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @lru_cache(maxsize=None)
 def oracle_view_names() -> tuple[str, ...]:
     return tuple(VIEWS)
+
+
+# ---------------------------------------------------------------------------
+# Raw landing zone built from fx_feed (JSON written and read back by Spark)
+# ---------------------------------------------------------------------------
+# Title memberships for the feed's players: each side's title as in fx_games,
+# plus a lower-priority second roster for GM/IM players, so the priority rule
+# decides. Added here (not in the source system) to drive the title lookup.
+FX_TITLES = """
+select distinct white_title as title, white_username as username from {fx_games} g where white_title is not null
+union
+select distinct black_title as title, black_username as username from {fx_games} g where black_title is not null
+union
+select distinct 'WCM' as title, white_username as username from {fx_games} g where white_title in ('GM', 'IM')
+"""
+
+
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(FX_TITLES, fx_games=view(spark, sf_dir, "fx_games"))
+
+
+def oracle_titles() -> str:
+    return FX_TITLES.format(fx_games="fx_games")
+
+
+def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_feed occurrences packed into one feed document per raw_key.
+
+    A document holds one player's month, so its size is bounded by the games
+    one player can play in a month. The document's username is null when any
+    of its occurrences lacks one (the feed's missing-username case).
+    """
+    from pyspark.sql import functions as F
+
+    fx = view(spark, sf_dir, "fx_feed")
+    side = lambda s: F.struct(F.col(f"{s}_username").alias("username"), F.col(f"{s}_rating").alias("rating"),
+                              F.col(f"{s}_result").alias("result"))
+    game = F.struct(
+        F.col("uuid"), F.col("url"), F.col("end_time"), F.col("time_class"), F.lit(None).cast("string").alias("time_control"),
+        F.col("rated"), F.lit(None).cast("string").alias("rules"), F.col("eco"),
+        F.lit(None).cast("string").alias("initial_setup"), F.lit(None).cast("string").alias("fen"), F.col("pgn"),
+        F.lit(None).cast("string").alias("tcn"), F.col("accuracies"), side("white").alias("white"),
+        side("black").alias("black"))
+    docs = fx.groupBy("raw_key", "year", "month").agg(
+        F.when(F.count("source_username") == F.count(F.lit(1)), F.max("source_username")).alias("username"),
+        F.array_sort(F.collect_list(F.struct(F.col("pos"), game.alias("g")))).alias("_games"))
+    return docs.select(
+        "username", "year", "month", F.concat_ws("-", "year", "month").alias("month_key"),
+        F.size("_games").cast("int").alias("game_count"),
+        F.transform("_games", lambda x: x["g"]).alias("games"),
+        F.regexp_extract("raw_key", r"username=([^/]+)\.json$", 1).alias("feed"))
+
+
+def landing_zone(spark: SparkSession, sf_dir: str) -> str:
+    """Write the fixture feed documents once per input directory under the
+    checkpoint root and return the ``player_games`` root."""
+    from gamelake.session import path_token, scratch_path
+    from gamelake.sources import raw
+
+    root = scratch_path(spark, "fixture", path_token(sf_dir.rstrip("/")), "raw", "player_games")
+    return raw.publish(spark, root, lambda tmp: raw.write_feed(feed_documents(spark, sf_dir), tmp))
