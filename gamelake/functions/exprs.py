@@ -172,7 +172,10 @@ def archive_month(url: str | Column) -> Column:
     """Archive URL -> 'YYYY-MM' from its last two path parts (month zero-padded)."""
     parts = F.split(F.regexp_replace(col(url), r"/+$", ""), "/")
     ok = F.size(parts) >= 2
-    return F.when(ok, F.concat(F.element_at(parts, -2), F.lit("-"), F.lpad(F.element_at(parts, -1), 2, "0")))
+    m = F.try_element_at(parts, F.lit(-1))
+    # Zero-pad to two characters, never cut a longer part.
+    m = F.when(F.length(m) >= 2, m).otherwise(F.lpad(m, 2, "0"))
+    return F.when(ok, F.concat(F.try_element_at(parts, F.lit(-2)), F.lit("-"), m))
 
 
 def month_list_hash(months: str | Column) -> Column:
