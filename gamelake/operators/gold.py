@@ -60,9 +60,9 @@ def title_month_activity(facts: DataFrame, month: str | None = None, months: Seq
         F.sum("games_vs_titled").alias("games_vs_titled"),
         F.sum("games_vs_non_titled").alias("games_vs_non_titled"),
         X.round_like(_ratio(F.sum("games_played"), F.count(F.lit(1))), 2).alias("avg_games_per_active_player"),
-        X.round_like(F.avg(F.col("unique_opponents").cast("double")), 2).alias("avg_unique_opponents"),
-        X.round_like(F.avg("score_rate"), 4).alias("avg_player_score_rate"),
-        X.round_like(F.avg("avg_rating"), 2).alias("avg_player_rating"),
+        X.round_stable(F.avg(F.col("unique_opponents").cast("double")), 2).alias("avg_unique_opponents"),
+        X.round_stable(F.avg("score_rate"), 4).alias("avg_player_score_rate"),
+        X.round_stable(F.avg("avg_rating"), 2).alias("avg_player_rating"),
     )
 
 
@@ -84,13 +84,13 @@ def title_month_volatility(facts: DataFrame, month: str | None = None, months: S
     pm = pm.filter((F.col("games_played") >= 2) & F.col("rating_range").isNotNull())
     return pm.groupBy(*MONTH_COLS, "title").agg(
         F.count(F.lit(1)).alias("player_months"),
-        X.round_like(F.avg(F.col("games_played").cast("double")), 2).alias("avg_games_per_player"),
-        X.round_like(F.avg("rating_range"), 2).alias("avg_rating_range"),
+        X.round_stable(F.avg(F.col("games_played").cast("double")), 2).alias("avg_games_per_player"),
+        X.round_stable(F.avg("rating_range"), 2).alias("avg_rating_range"),
         X.round_like(F.median("rating_range"), 2).alias("median_rating_range"),
         X.round_like(F.min("rating_range"), 2).alias("min_rating_range"),
         X.round_like(F.max("rating_range"), 2).alias("max_rating_range"),
-        X.round_like(F.avg("rating_stddev"), 2).alias("avg_rating_stddev"),
-        X.round_like(F.avg("avg_rating"), 2).alias("avg_player_rating"),
+        X.round_stable(F.avg("rating_stddev"), 2).alias("avg_rating_stddev"),
+        X.round_stable(F.avg("avg_rating"), 2).alias("avg_player_rating"),
     )
 
 

@@ -61,3 +61,7 @@ def round_like(x: str, n: int) -> str:
 
 def title_priority(t: str) -> str:
     return f"list_position([{quote_list(TITLES)}], {t})"
+
+
+def round_stable(x: str, n: int, guard: int = 9) -> str:
+    return f"(round(round({x}, {guard}) + 0.0, {n}) + 0.0)"

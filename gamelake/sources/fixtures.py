@@ -231,3 +231,20 @@ def landing_zone(spark: SparkSession, sf_dir: str) -> str:
 
     root = scratch_path(spark, "fixture", path_token(sf_dir.rstrip("/")), "raw", "player_games")
     return raw.publish(spark, root, lambda tmp: raw.write_feed(feed_documents(spark, sf_dir), tmp))
+
+
+def lake(spark: SparkSession, sf_dir: str) -> str:
+    """Run the layered build once per input directory over the fixture
+    landing zone (all months) and return the lake root."""
+    from gamelake.plans import pipeline
+    from gamelake.session import path_token, scratch_path
+    from gamelake.sources import raw
+
+    raw_root = landing_zone(spark, sf_dir)
+    root = scratch_path(spark, "fixture", path_token(sf_dir.rstrip("/")), "lake")
+
+    def build(tmp: str) -> None:
+        pipeline.run(spark, raw_root, tmp, months=None, roster_members=titles(spark, sf_dir),
+                     roster=view(spark, sf_dir, "fx_roster"))
+
+    return raw.publish(spark, root, build)

@@ -121,3 +121,19 @@ def available_months(feed_paths: DataFrame, path: str = "raw_key") -> DataFrame:
     mo = F.regexp_extract(X.col(path), r"year=(\d{4})/month=(\d{2})/", 2)
     return (feed_paths.select(F.when(m != "", F.concat(y, F.lit("-"), mo)).alias("month_key"))
             .filter(F.col("month_key").isNotNull()).distinct())
+
+
+# --- A12 ---------------------------------------------------------------------------
+def pack_feed(occurrences: DataFrame, feed_col: str = "source_username") -> DataFrame:
+    """Occurrences (year, month, <feed_col>, pos, game fields) -> one document
+    per player-month with the games in position order.
+
+    A document is one player's month, so its size is bounded by the games one
+    player can play in a month."""
+    game_fields = [f.name for f in SC.GAME.fields]
+    docs = occurrences.groupBy("year", "month", feed_col).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("pos"), F.struct(*game_fields).alias("g")))).alias("_games"))
+    return docs.select(
+        F.col(feed_col).alias("username"), "year", "month", F.concat_ws("-", "year", "month").alias("month_key"),
+        F.size("_games").cast("int").alias("game_count"), F.transform("_games", lambda x: x["g"]).alias("games"),
+        F.col(feed_col).alias("feed"))
