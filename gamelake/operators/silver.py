@@ -1,9 +1,10 @@
 """Bronze -> silver: typed staging, first-wins dedup, cleaned projections.
 
-Dedup is ``groupBy(key).agg(min_by(row, order))`` rather than a window: the
-aggregate is combined map-side, so a hot key (one game seen in thousands of
-feeds) shrinks to one row per map task before the shuffle and never lands
-whole in one reducer.
+Dedup is ``row_number() over (partition by key order by ...) = 1``. Spark
+plans it with a partial ``WindowGroupLimit`` before the shuffle: every map
+task keeps only its best row per key, so a hot key (one game seen in
+thousands of feeds) arrives at its reducer as one row per map task, never as
+the whole group.
 """
 
 from __future__ import annotations
@@ -42,11 +43,15 @@ def stage_roster(bronze_roster: DataFrame) -> DataFrame:
 
 
 # --- generic first-wins dedup -------------------------------------------------
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order`` struct."""
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r"))
-    return picked.select(*keys, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
+def sort_cols(*specs: tuple[str | Column, str]) -> list[Column]:
+    """``(column, 'asc'|'desc')`` -> sort columns with nulls last either way."""
+    return [X.col(c).desc_nulls_last() if d == "desc" else X.col(c).asc_nulls_last() for c, d in specs]
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """One row per ``keys``: the first in ``order``."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 # --- C7 / C8 ----------------------------------------------------------------
@@ -63,7 +68,7 @@ def default_game_tie_break(columns: Sequence[str]) -> list[str]:
 
 def dedup_games(stg: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
     tie = default_game_tie_break(stg.columns) if tie_break is None else list(tie_break)
-    order = X.order_key(*GAME_ORDER, *[(c, "asc") for c in tie])
+    order = sort_cols(*GAME_ORDER, *[(c, "asc") for c in tie])
     return first_per_key(stg.filter(F.col("game_uuid").isNotNull()), list(GAME_KEYS), order)
 
 
@@ -91,8 +96,8 @@ def silver_games(stg: DataFrame, month: str | None = None, months: Sequence[str]
 FACT_KEYS = ("year", "month", "game_uuid", "username")
 
 
-def fact_order(tie_break: Sequence[str] = ()) -> Column:
-    return X.order_key(
+def fact_order(tie_break: Sequence[str] = ()) -> list[Column]:
+    return sort_cols(
         (F.when(F.col("title").isNotNull(), 0).otherwise(1), "asc"),
         (F.when(F.col("opponent_title").isNotNull(), 0).otherwise(1), "asc"),
         ("color", "asc"),
@@ -140,7 +145,7 @@ def silver_roster(stg: DataFrame, snapshot_date: str | None = None) -> DataFrame
     small next to the game tables.
     """
     src = stg.filter(X.snapshot_filter(snapshot_date))
-    order = X.order_key(("snapshot_position", "asc"), ("username", "asc"), ("snapshot_player_count", "asc"))
+    order = sort_cols(("snapshot_position", "asc"), ("username", "asc"), ("snapshot_player_count", "asc"))
     best = first_per_key(src, ["snapshot_date", "title", "username"], order)
     w = Window.partitionBy("snapshot_date", "title").orderBy(
         F.col("snapshot_position").asc_nulls_last(), F.col("username").asc_nulls_last())

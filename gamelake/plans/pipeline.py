@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from gamelake import schemas as SC
 from gamelake.functions import exprs as X
 from gamelake.operators import bronze, gold, silver
 from gamelake.sources import lake, raw
@@ -36,17 +37,28 @@ class RunReport:
 
 def build_bronze_months(spark: SparkSession, raw_root: str, lake_root: str, months: Sequence[str] | None,
                         roster_members: DataFrame | None, buckets: int = X.DEFAULT_BUCKETS,
-                        files_per_bucket: int = 1) -> dict[str, int]:
+                        files_per_bucket: int | None = None) -> dict[str, int]:
+    """Raw feed -> bronze games (written), then player rows from the written
+    games (the merge runs once, and facts restart from a table, not the JSON)."""
     feed = raw.read_feed(spark, raw_root, months)
-    games, facts = bronze.build_bronze(feed, roster_members, buckets)
+    merged = bronze.merge_games(bronze.explode_feed(feed))
+    merged = merged.withColumn("white_username", F.col("white.username")).withColumn(
+        "black_username", F.col("black.username"))
+    if roster_members is not None:
+        merged = bronze.title_enrich(merged, bronze.title_lookup(roster_members))
+    games = bronze.with_game_bucket(bronze.games_core_rows(merged.drop("white_username", "black_username")), buckets)
     og, of = Observation("bronze_games"), Observation("bronze_facts")
     games = games.observe(og, F.count(F.lit(1)).alias("unique_games"))
-    facts = facts.observe(of, F.count(F.lit(1)).alias("player_rows"))
     if months:
         # Months in the selection that yield no games must not keep old output.
         lake.clear_months(spark, lake_root, lake.BRONZE_GAMES, months)
         lake.clear_months(spark, lake_root, lake.BRONZE_FACTS, months)
-    lake.write_bronze(games, facts, lake_root, files_per_bucket)
+    lake.write_bronze_games(games, lake_root, files_per_bucket)
+    written = lake.read_bronze_games(spark, lake_root, months).drop("bucket")
+    facts = bronze.with_fact_bucket(bronze.player_rows(written), buckets)
+    facts = SC.conform(facts, SC.MONTH_PARTS + SC.PLAYER_FACTS + [("bucket", SC.S)])
+    facts = facts.observe(of, F.count(F.lit(1)).alias("player_rows"))
+    lake.write_bronze_facts(facts, lake_root, files_per_bucket)
     return {**og.get, **of.get}
 
 

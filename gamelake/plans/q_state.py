@@ -20,11 +20,14 @@ DAY1, DAY2, DAY3 = "2024-01-01", "2024-01-02", "2024-01-03"
 NOW = "2024-01-02 12:00:00"
 CURRENT = "1996-05"
 STORED_BEFORE = "1996-01"
-EMPTY = F.array().cast("array<string>")
+
+
+def _empty() -> F.Column:
+    return F.array().cast("array<string>")
 
 
 def _j(c) -> F.Column:
-    return F.array_join(F.coalesce(X.col(c), EMPTY), ",")
+    return F.array_join(F.coalesce(X.col(c), _empty()), ",")
 
 
 def _ts(c) -> F.Column:
@@ -130,7 +133,7 @@ def state_ext(spark, sf) -> DataFrame:
 def index0(spark, sf) -> DataFrame:
     st = fixtures.view(spark, sf, "fx_stored").filter(F.col("month_key") < STORED_BEFORE)
     idx = st.groupBy("username").agg(F.array_sort(F.collect_set("month_key")).alias("stored_months"))
-    return SC.conform(idx, SC.PLAYER_INDEX, {"archive_months": EMPTY, "pending_backfill_months": EMPTY})
+    return SC.conform(idx, SC.PLAYER_INDEX, {"archive_months": _empty(), "pending_backfill_months": _empty()})
 
 
 def after_refresh(spark, sf) -> tuple[DataFrame, DataFrame]:

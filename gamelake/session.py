@@ -69,3 +69,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def path_token(text: str) -> str:
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:12]
+
+
+def spread_small_scan(df):
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A table stored as one Parquet row group is read by a single task, and
+    every narrow step after it (regexes, hashes) would run single-threaded
+    until the first shuffle. Only then is a hash repartition on all columns
+    added (no pre-sort, unlike round robin); a scan of many files is left
+    alone, so at scale this costs nothing.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *df.columns)
+    return df

@@ -156,7 +156,9 @@ def oracle_cte(*names: str) -> str:
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from gamelake.session import spread_small_scan
+
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -188,7 +190,17 @@ select distinct 'WCM' as title, white_username as username from {fx_games} g whe
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(FX_TITLES, fx_games=view(spark, sf_dir, "fx_games"))
+    """FX_TITLES in one pass over fx_games (the SQL text scans it three times)."""
+    from pyspark.sql import functions as F
+
+    g = view(spark, sf_dir, "fx_games")
+    pairs = F.array(
+        F.struct(F.col("white_title").alias("title"), F.col("white_username").alias("username")),
+        F.struct(F.col("black_title").alias("title"), F.col("black_username").alias("username")),
+        F.struct(F.when(F.col("white_title").isin("GM", "IM"), F.lit("WCM")).alias("title"),
+                 F.col("white_username").alias("username")))
+    return (g.select(F.explode(pairs).alias("p")).select("p.title", "p.username")
+            .filter(F.col("title").isNotNull()).distinct())
 
 
 def oracle_titles() -> str:
