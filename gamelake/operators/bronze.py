@@ -50,22 +50,36 @@ def _truthy(field: str) -> Column:
 
 def merge_games(occ: DataFrame) -> DataFrame:
     """First sighting wins, in (raw_key, pos) order; the fill fields take the
-    first truthy sighting. Provenance: distinct files and source users."""
+    first truthy sighting. Provenance: distinct files and source users.
+
+    Two aggregation levels, both combined map-side: per (game, file) the
+    file's first sighting and first truthy fills; then per game the earliest
+    file's values. Counting files is then a plain count (no distinct-expand
+    that would copy every row with its payload).
+    """
     k = keyed_occurrences(occ)
+    fill = ("accuracies", "eco", "fen", "initial_setup")
+    per_file = k.groupBy("year", "month", "game_key", "raw_key").agg(
+        F.min("pos").alias("pos"),
+        F.min_by(F.struct(*FIRST_FIELDS, *[F.col(f).alias(f"first_{f}") for f in fill]), F.col("pos")).alias("g"),
+        *[F.min_by(F.struct(F.col("pos").alias("p"), F.col(f).alias("v")), F.when(_truthy(f), F.col("pos"))).alias(f"fill_{f}")
+          for f in fill],
+        *[F.max(X.truthy_text(f)).alias(f"has_{f}") for f in ("pgn", "tcn")],
+        F.max(F.nullif(F.col("source_username"), F.lit(""))).alias("user"),
+    )
     order = F.struct("raw_key", "pos")
-    first = F.min_by(F.struct(*FIRST_FIELDS, *[F.col(f).alias(f"first_{f}") for f in ("accuracies", "eco", "fen", "initial_setup")]), order)
-    fills = [F.min_by(F.col(f), F.when(_truthy(f), order)).alias(f"fill_{f}")
-             for f in ("accuracies", "eco", "fen", "initial_setup")]
-    flags = [F.max(X.truthy_text(f)).alias(f"has_{f}") for f in ("pgn", "tcn")]
-    merged = k.groupBy("year", "month", "game_key").agg(
-        first.alias("g"), *fills, *flags,
-        F.count_distinct("raw_key").alias("source_key_count"),
-        F.array_sort(F.collect_set(F.nullif(F.col("source_username"), F.lit("")))).alias("source_player_usernames"),
+    merged = per_file.groupBy("year", "month", "game_key").agg(
+        F.min_by("g", order).alias("g"),
+        *[F.min_by(F.col(f"fill_{f}.v"), F.when(F.col(f"fill_{f}").isNotNull(),
+                                                F.struct(F.col("raw_key"), F.col(f"fill_{f}.p")))).alias(f"fill_{f}")
+          for f in fill],
+        *[F.max(f"has_{f}").alias(f"has_{f}") for f in ("pgn", "tcn")],
+        F.count(F.lit(1)).alias("source_key_count"),
+        F.array_sort(F.collect_set("user")).alias("source_player_usernames"),
     )
     out = [F.col("year"), F.col("month"), F.col("game_key")]
     out += [F.col(f"g.{f}").alias(f) for f in FIRST_FIELDS]
-    out += [F.coalesce(F.col(f"fill_{f}"), F.col(f"g.first_{f}")).alias(f)
-            for f in ("accuracies", "eco", "fen", "initial_setup")]
+    out += [F.coalesce(F.col(f"fill_{f}"), F.col(f"g.first_{f}")).alias(f) for f in fill]
     out += [F.col("has_pgn"), F.col("has_tcn"), F.col("source_key_count").cast("int").alias("source_key_count"),
             F.size("source_player_usernames").cast("int").alias("source_player_count"), F.col("source_player_usernames")]
     return merged.select(*out)
