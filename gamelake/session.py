@@ -76,12 +76,13 @@ def spread_small_scan(df):
 
     A table stored as one Parquet row group is read by a single task, and
     every narrow step after it (regexes, hashes) would run single-threaded
-    until the first shuffle. Only then is a hash repartition on all columns
-    added (no pre-sort, unlike round robin); a scan of many files is left
-    alone, so at scale this costs nothing.
+    until the first shuffle. Only then is a hash repartition added, on the
+    table's leading (key) column: no pre-sort as with round robin, and the
+    scan still reads only the columns the query uses. A scan of many files
+    is left alone, so at scale this costs nothing.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *df.columns)
+        return df.repartition(cores, df.columns[0])
     return df
