@@ -72,7 +72,12 @@ def build_silver(spark: SparkSession, lake_root: str, months: Sequence[str] | No
     lake.write_month_table(g, lake_root, lake.SILVER_GAMES)
     lake.write_month_table(f, lake_root, lake.SILVER_FACTS)
     if roster is not None:
-        lake.write_snapshot_table(silver.silver_roster(silver.stage_roster(roster)), lake_root, lake.SILVER_ROSTER)
+        # A8: bronze roster by (snapshot_date, title), then silver from the written table.
+        lake.write_roster(roster.select("snapshot_date", "title", "username", "snapshot_player_count",
+                                        "snapshot_position"), lake_root)
+        bronze_roster = lake.read(spark, lake_root, lake.BRONZE_ROSTER)
+        lake.write_snapshot_table(silver.silver_roster(silver.stage_roster(bronze_roster)), lake_root,
+                                  lake.SILVER_ROSTER)
 
 
 def build_gold(spark: SparkSession, lake_root: str, months: Sequence[str] | None) -> None:

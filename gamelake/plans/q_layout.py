@@ -223,3 +223,10 @@ from (select * from h2h_monthly order by pair_key, month_key limit 50) s""", "h2
 def q_head_n(spark, sf):
     from gamelake.plans.q_silver_gold import pair_monthly
     return layout.head_n(pair_monthly(spark, sf), 50, [F.col("pair_key"), F.col("month_key")])
+
+
+@register("bronze_roster_roundtrip", oracle(
+    "select snapshot_date, title, username, snapshot_player_count, snapshot_position from fx_roster", "fx_roster"))
+def q_bronze_roster_roundtrip(spark, sf):
+    return lake.read(spark, _lake(spark, sf), lake.BRONZE_ROSTER).select(
+        "snapshot_date", "title", "username", "snapshot_player_count", "snapshot_position")
