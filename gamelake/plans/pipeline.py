@@ -53,12 +53,13 @@ def build_bronze_months(spark: SparkSession, raw_root: str, lake_root: str, mont
         # Months in the selection that yield no games must not keep old output.
         lake.clear_months(spark, lake_root, lake.BRONZE_GAMES, months)
         lake.clear_months(spark, lake_root, lake.BRONZE_FACTS, months)
-    lake.write_bronze_games(games, lake_root, files_per_bucket)
+    full = not months
+    lake.write_bronze_games(games, lake_root, files_per_bucket, replace_all=full)
     written = lake.read_bronze_games(spark, lake_root, months).drop("bucket")
     facts = bronze.with_fact_bucket(bronze.player_rows(written), buckets)
     facts = SC.conform(facts, SC.MONTH_PARTS + SC.PLAYER_FACTS + [("bucket", SC.S)])
     facts = facts.observe(of, F.count(F.lit(1)).alias("player_rows"))
-    lake.write_bronze_facts(facts, lake_root, files_per_bucket)
+    lake.write_bronze_facts(facts, lake_root, files_per_bucket, replace_all=full)
     return {**og.get, **of.get}
 
 
@@ -69,8 +70,9 @@ def build_silver(spark: SparkSession, lake_root: str, months: Sequence[str] | No
     if months:
         lake.clear_months(spark, lake_root, lake.SILVER_GAMES, months)
         lake.clear_months(spark, lake_root, lake.SILVER_FACTS, months)
-    lake.write_month_table(g, lake_root, lake.SILVER_GAMES)
-    lake.write_month_table(f, lake_root, lake.SILVER_FACTS)
+    full = not months
+    lake.write_month_table(g, lake_root, lake.SILVER_GAMES, replace_all=full)
+    lake.write_month_table(f, lake_root, lake.SILVER_FACTS, replace_all=full)
     if roster is not None:
         # A8: bronze roster by (snapshot_date, title), then silver from the written table.
         lake.write_roster(roster.select("snapshot_date", "title", "username", "snapshot_player_count",
@@ -91,13 +93,14 @@ def build_gold(spark: SparkSession, lake_root: str, months: Sequence[str] | None
     for name, df in marts.items():
         if months:
             lake.clear_months(spark, lake_root, f"gold/{name}", months)
-        lake.write_month_table(df, lake_root, f"gold/{name}")
+        lake.write_month_table(df, lake_root, f"gold/{name}", replace_all=not months)
     if months:
         lake.clear_months(spark, lake_root, "gold/head_to_head_games", months)
         lake.clear_months(spark, lake_root, "gold/head_to_head_monthly", months)
-    lake.write_month_table(gold.h2h_games(games), lake_root, "gold/head_to_head_games")
+    lake.write_month_table(gold.h2h_games(games), lake_root, "gold/head_to_head_games", replace_all=not months)
     pair_games = lake.read(spark, lake_root, "gold/head_to_head_games", months)
-    lake.write_month_table(gold.h2h_monthly(pair_games), lake_root, "gold/head_to_head_monthly")
+    lake.write_month_table(gold.h2h_monthly(pair_games), lake_root, "gold/head_to_head_monthly",
+                           replace_all=not months)
     # The all-time mart is rebuilt once from every month's monthly mart.
     monthly_all = lake.read(spark, lake_root, "gold/head_to_head_monthly")
     lake.write_full(gold.h2h_summary(monthly_all), lake_root, lake.GOLD_SUMMARY)
