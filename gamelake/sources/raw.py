@@ -8,6 +8,7 @@ Layout (partition directories, so month selection prunes files):
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -43,15 +44,23 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)))
 
 
+_PUBLISH_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
 def publish(spark: SparkSession, path: str, write) -> str:
     """Write once to ``path``: ``write(tmp)`` goes to a private sibling that is
-    renamed into place, so readers never see a half-written tree."""
-    if exists(spark, path):
-        return path
-    tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-    write(tmp)
-    if not rename(spark, tmp, path):
-        delete(spark, tmp)
+    renamed into place, so readers never see a half-written tree. Callers in
+    one driver serialise per path; a copy another driver published first wins."""
+    with _LOCKS_GUARD:
+        lock = _PUBLISH_LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if exists(spark, path):
+            return path
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        write(tmp)
+        if exists(spark, path) or not rename(spark, tmp, path):
+            delete(spark, tmp)
     return path
 
 
