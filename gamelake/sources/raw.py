@@ -83,8 +83,13 @@ def write_feed(docs: DataFrame, root: str, mode: str = "overwrite") -> None:
     ``docs`` needs ``feed`` (the file's name) plus the document fields.
     """
     cols = ["username", "year", "month", "month_key", "game_count", "games", "feed"]
+    # One file per document: spread the documents over a fixed number of
+    # writer tasks (a by-number repartition, which AQE does not coalesce into
+    # one task that would create every file in turn).
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Partition columns leave the file body and come back from the path.
-    docs.select(*cols).write.mode(mode).partitionBy("year", "month", "feed").json(root)
+    (docs.select(*cols).repartition(n, "year", "month", "feed")
+     .write.mode(mode).partitionBy("year", "month", "feed").json(root))
 
 
 # --- A2 / A3 roster and archive snapshots ----------------------------------------------
