@@ -12,7 +12,7 @@ from gamelake.sources import raw
 def game(uuid="g1", url="https://x/live/g1", pgn="", eco=None, acc=None, white="A", black="B",
          wres="win", bres="checkmated", end_time="1767225600", rating="2500"):
     return {"uuid": uuid, "url": url, "end_time": end_time, "time_class": "blitz", "time_control": "180",
-            "rated": True, "rules": "chess", "eco": eco, "initial_setup": None, "fen": None, "pgn": pgn, "tcn": None,
+            "rated": True, "rules": "standard", "eco": eco, "initial_setup": None, "fen": None, "pgn": pgn, "tcn": None,
             "accuracies": acc, "white": {"username": white, "rating": rating, "result": wres},
             "black": {"username": black, "rating": "2400", "result": bres}}
 
