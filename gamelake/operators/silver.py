@@ -150,4 +150,4 @@ def silver_roster(stg: DataFrame, snapshot_date: str | None = None) -> DataFrame
     w = Window.partitionBy("snapshot_date", "title").orderBy(
         F.col("snapshot_position").asc_nulls_last(), F.col("username").asc_nulls_last())
     return best.select("snapshot_date", "title", "username", "snapshot_player_count", "snapshot_position",
-                       F.row_number().over(w).alias("snapshot_rank"))
+                       F.row_number().over(w).cast("bigint").alias("snapshot_rank"))

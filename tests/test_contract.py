@@ -11,6 +11,8 @@ import pytest
 import __spark_entry__ as E
 
 NAMES = sorted(E.queries())
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+         "date": "DATE", "timestamp": "TIMESTAMP"}
 TABLES = ["lineitem", "orders", "part", "customer", "supplier", "nation", "region"]
 
 
@@ -49,10 +51,12 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, sf, con, name):
     df = E.queries()[name](spark, sf)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in cur.description]
+    rel = con.sql(E.oracle_sql()[name])
+    ocols, otypes = rel.columns, [str(t) for t in rel.types]
     assert sorted(df.columns) == sorted(ocols)
-    assert canon(df.columns, srows) == canon(ocols, cur.fetchall())
+    types = dict(zip(ocols, otypes))
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == {c: types[c] for c in df.columns}
+    assert canon(df.columns, srows) == canon(ocols, rel.fetchall())
 
 
 def test_entry_smoke(spark):
