@@ -9,8 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from gamelake.plans import contract
 
-NAMES = sorted(E.queries())
+NAMES = sorted(contract.load_all())
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
          "date": "DATE", "timestamp": "TIMESTAMP"}
 TABLES = ["lineitem", "orders", "part", "customer", "supplier", "nation", "region"]
@@ -44,7 +45,7 @@ def con(sf):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql()) and set(NAMES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
