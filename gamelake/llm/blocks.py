@@ -43,6 +43,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    ranked = np.sort(values)
+    if len(ranked) < 2:
+        return ranked
+    return ranked[np.concatenate([[True], ranked[1:] != ranked[:-1]])]
+
+
+def among(values: np.ndarray, ranked: np.ndarray) -> np.ndarray:
+    """Whether each value stands in the sorted array ``ranked``."""
+    if len(ranked) == 0:
+        return np.zeros(len(values), dtype=bool)
+    return ranked[np.minimum(np.searchsorted(ranked, values), len(ranked) - 1)] == values
+
+
 class Block:
     """Texts ``lo..hi`` of a batch: ``buf`` bytes, ``offs`` (n + 1 offsets into it)."""
 

@@ -14,8 +14,25 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept", "n_links")
 
 
+def op2_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import quality
+
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from gamelake.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_quality_forest": op2_quality_forest,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {}
