@@ -21,6 +21,22 @@ def op2_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from gamelake.llm import line_dedup
+
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
+
+
+def op9_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents"), target_entropy=0.95).select(
+        "doc_id", "source", "mix_epoch", "mix_block", "mix_order")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +48,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_forest": op2_quality_forest,
+    "op6_line_dedup": op6_line_dedup,
+    "op9_temperature_mix": op9_temperature_mix,
     "op10_packing": op10_packing,
 }
 
