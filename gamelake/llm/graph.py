@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gamelake.llm.tables import written
 
 #: Ranks up to which a bucket's members have served as hubs after each round.
-HUB_STEP = 16
+HUB_STEP = 256
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,12 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = (links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
              .filter("u <> v").distinct())
     edges = written(edges, "edges")
-    mark = None
-    while True:
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now["n"] == 0 or (now["n"], now["h"]) == mark:
-            break
-        mark = (now["n"], now["h"])
+    while not _stars(edges):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -43,7 +38,16 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def linked_components(members: DataFrame, check: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def _stars(edges: DataFrame) -> bool:
+    """Whether every u has one v and no v is a u."""
+    single = edges.groupBy("u").agg(F.count("*").alias("n"))
+    inner = edges.select(F.col("v").alias("u")).distinct().join(single, "u", "left_semi").select("u")
+    return single.filter("n > 1").select("u").unionByName(inner).isEmpty()
+
+
+def linked_components(members: DataFrame, check: Callable[[DataFrame], DataFrame],
+                      bound: tuple[Callable[[DataFrame], DataFrame], Callable[[str, str], Column]] | None = None,
+                      ) -> tuple[DataFrame, DataFrame]:
     """Components of all links between members that share a bucket.
 
     ``members`` (key, id), distinct rows; ``check`` maps candidate pairs
@@ -54,6 +58,10 @@ def linked_components(members: DataFrame, check: Callable[[DataFrame], DataFrame
     every pair that could join two components is tested, yet a group of
     near copies costs one pair per member instead of all pairs.
 
+    ``bound``: a function of ids (id) that gives them a struct column
+    ``profile``, and a condition on two profiles that every linked pair
+    meets; later rounds leave out pairs that miss it.
+
     Returns (id, component) of linked ids and the confirmed links (a, b).
     """
     members = written(members, "members")
@@ -62,7 +70,7 @@ def linked_components(members: DataFrame, check: Callable[[DataFrame], DataFrame
              .select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
     links = written(check(first), "links")
     comps = written(components(links), "components")
-    done = 1
+    done, profiles = 1, None
     while True:
         labelled = (members.join(comps, "id", "left")
                     .select("key", "id", F.coalesce("component", "id").alias("c")))
@@ -71,13 +79,21 @@ def linked_components(members: DataFrame, check: Callable[[DataFrame], DataFrame
         rest = written(labelled.join(open_keys, "key", "left_semi"), "open")
         if rest.isEmpty():
             return comps, links
+        if bound is None:
+            rest = rest.withColumn("profile", F.lit(True))
+        else:
+            if profiles is None:
+                profiles = written(bound[0](rest.select("id").distinct()), "profiles")
+            rest = rest.join(profiles, "id")
         rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         upto = done * HUB_STEP
         hubs = (rest.withColumn("r", rank).filter(F.col("r") <= upto).filter(F.col("r") > done)
-                .select("key", F.col("id").alias("a"), F.col("c").alias("ca")))
-        pairs = (rest.join(hubs, "key").filter((F.col("id") > F.col("a")) & (F.col("c") != F.col("ca")))
+                .select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("profile").alias("pa")))
+        near = bound[1]("profile", "pa") if bound else F.lit(True)
+        pairs = (rest.join(hubs, (rest["key"] == hubs["key"]) & (F.col("id") > F.col("a")) & (F.col("c") != F.col("ca")) & near)
                  .select("a", F.col("id").alias("b")).distinct())
         more = written(check(pairs), "links")
-        links = written(links.unionByName(more).distinct(), "links")
-        comps = written(components(links), "components")
+        if not more.isEmpty():
+            links = written(links.unionByName(more).distinct(), "links")
+            comps = written(components(links), "components")
         done = upto

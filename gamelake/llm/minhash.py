@@ -3,7 +3,9 @@
 1. Each text becomes the set of its distinct word shingles (64-bit hashes)
    and a MinHash signature; texts with equal sets form one class.
 2. Banded signatures give buckets; candidates are tested hub-wise
-   (``graph.linked_components``), so copies never expand into all pairs.
+   (``graph.linked_components``), so copies never expand into all pairs;
+   later rounds skip pairs whose items that no other open text has already
+   rule out the threshold.
 3. A candidate pair's signatures are compared batch by batch. With a uniform
    prior the similarity's posterior after m of n agreements is
    Beta(m + 1, n - m + 1); the pair is pruned as soon as the posterior
@@ -22,10 +24,13 @@ from pyspark.sql import functions as F
 
 from gamelake.llm import blocks
 from gamelake.llm.graph import linked_components
+from gamelake.llm.sieve import may_hold, sieve
 from gamelake.llm.tables import small_batches, written
 
 BANDS, ROWS = 25, 5
 HASHES = 128
+#: Hash classes of items whose counts bound an intersection.
+CLASSES = 64
 _rng = np.random.default_rng(20240817)
 _MUL = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _ADD = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -48,7 +53,7 @@ def shingle_sets(block: blocks.Block, k: int):
     for d in range(len(block)):
         lo, hi = int(first[d]), int(first[d + 1])
         if hi - lo >= k:
-            yield np.unique(roll[lo: hi - k + 1])
+            yield blocks.distinct(roll[lo: hi - k + 1])
         elif hi > lo:  # fewer words than a shingle: the whole sequence is one
             h = np.uint64(hi - lo)
             with np.errstate(over="ignore"):
@@ -90,6 +95,15 @@ def _sketches(k: int, with_sets: bool):
     return run
 
 
+def _items(batches):
+    """(id, item) for each item of each set."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            items = np.frombuffer(batch.column("items")[i].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), batch.column("id")[i].as_py(), np.int64)),
+                                              pa.array(items)], names=["id", "item"])
+
+
 def agreement_floor(threshold: float, miss: float, batch: int) -> list[tuple[int, int]]:
     """(n, least m) per comparison batch: with fewer than m agreements among the
     first n hashes, P(similarity >= threshold) is under ``miss``."""
@@ -174,8 +188,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     shared = banded.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
     members = written(banded.join(shared, "key", "left_semi").distinct(), "buckets")
 
-    needed = members.select("id").distinct()
-    sets = written(text.join(needed, text.doc_id == needed.id, "left_semi")
+    needed = written(members.select("id").distinct(), "needed")
+    sets = written(text.filter(may_hold(sieve(needed, "id"), F.col("doc_id"))).join(needed, F.col("doc_id") == F.col("id"), "left_semi")
                    .mapInArrow(_sketches(k, True), "id long, sig binary, items binary").dropDuplicates(["id", "items"]), "sets")
     verify = _verified(percent, miss, batch)
 
@@ -188,10 +202,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
         small_batches(spark)
         return found
 
+    def profiles(ids: DataFrame) -> DataFrame:
+        """Least set size, and by hash class of the items how many another of ``ids`` has too."""
+        own = sets.join(ids, "id", "left_semi")
+        items = own.mapInArrow(_items, "id long, item long")
+        common = items.groupBy("item").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("item")
+        counts = (items.join(common, "item", "left_semi").distinct().groupBy("id", F.col("item").bitwiseAND(F.lit(CLASSES - 1)).alias("g"))
+                  .agg(F.count("*").alias("n")).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("g", "n"))).alias("by")))
+        shared = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(CLASSES - 1).cast("long")),
+                             lambda g: F.coalesce(F.try_element_at("by", g), F.lit(0).cast("long")).cast("int"))
+        return (own.groupBy("id").agg(F.min((F.octet_length("items") / 8).cast("long")).alias("least")).join(counts, "id", "left")
+                .select("id", F.struct("least", shared.alias("shared")).alias("profile")))
+
+    def within(x: str, y: str):
+        """Upper bound of the similarity: class by class, at best one's shared items are among the other's."""
+        common = F.aggregate(F.zip_with(F.col(f"{x}.shared"), F.col(f"{y}.shared"), lambda p, q: F.least(p, q)), F.lit(0), lambda s, n: s + n)
+        return 100 * common >= percent * (F.col(f"{x}.least") + F.col(f"{y}.least") - common)
+
     # A doc_id that repeats with different texts ties its classes together.
     several = (live.join(classes, ["f1", "f2", "n_shingles"]).groupBy("doc_id")
                .agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("a", "b"))
-    comps, links = linked_components(members, check)
+    comps, links = linked_components(members, check, (profiles, within))
     if not several.isEmpty():
         from gamelake.llm.graph import components
 
