@@ -253,7 +253,7 @@ def judge(docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS) -> Dat
     total = usable.count()
     share = min(1.0, TREES * SAMPLE / max(total, 1))
     drawn = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(1_000_000)) < int(1_000_000 * share))
-    points = np.asarray([tuple(r) for r in drawn.select(*FEATURES).orderBy(*FEATURES).collect()], dtype=float)
+    points = np.asarray(sorted(tuple(r) for r in drawn.select(*FEATURES).collect()), dtype=float)
     forest = grow(points.reshape(-1, len(FEATURES)))
     scored = written(found.mapInArrow(_scored(forest), ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], "anomaly double"])),
                      "scores")
