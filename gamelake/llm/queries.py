@@ -21,6 +21,17 @@ def op2_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op3_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from gamelake.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.learn(docs.filter(~out))
+    return langid.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -48,6 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_forest": op2_quality_forest,
+    "op3_language_spans": op3_language_spans,
     "op6_line_dedup": op6_line_dedup,
     "op9_temperature_mix": op9_temperature_mix,
     "op10_packing": op10_packing,
