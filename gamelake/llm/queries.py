@@ -41,6 +41,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
 
 
+def op7_toxicity_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from gamelake.llm import toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.learn(docs.filter(~out), labels.filter(~out))
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op9_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gamelake.llm import mixing
 
@@ -61,6 +72,7 @@ QUERIES = {
     "op2_quality_forest": op2_quality_forest,
     "op3_language_spans": op3_language_spans,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity_kernel": op7_toxicity_kernel,
     "op9_temperature_mix": op9_temperature_mix,
     "op10_packing": op10_packing,
 }
