@@ -32,6 +32,18 @@ def op3_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import nn_descent
+
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -52,6 +64,55 @@ def op7_toxicity_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def url_history(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Captures and dated list entries derived from every page's id and URL.
+
+    A capture's day follows from its page_id, an entry's days from a hash of
+    its pattern: hosts, parent domains and first path steps are put on lists,
+    taken off and put back.
+    """
+    from pyspark.sql import functions as F
+
+    from gamelake.llm import url_filter
+
+    start = F.lit("2024-01-01").cast("date")
+    captures = pages.select("page_id", "url", F.date_add(start, (F.col("page_id") * 7919 % 730).cast("int")).alias("fetched"))
+    host = url_filter.host_of(F.col("url"))
+    hosts = pages.select(host.alias("h")).filter("h <> ''").distinct()
+    parents = (hosts.filter(F.size(F.split("h", r"\.")) >= 3)
+               .select(F.array_join(F.slice(F.split("h", r"\."), F.lit(2), F.size(F.split("h", r"\."))), ".").alias("h")).distinct())
+    step = F.get(F.split(url_filter.path_of(F.col("url")), "/"), F.lit(1))
+    steps = (pages.select(host.alias("h"), step.alias("s")).filter("h <> '' and s <> ''")
+             .select(F.lower(F.concat("h", F.lit("/"), "s")).alias("h")).distinct())
+
+    def number(df: DataFrame) -> DataFrame:
+        return df.withColumn("n", F.conv(F.substring(F.md5("h"), 1, 8), 16, 10).cast("long"))
+
+    def entry(df: DataFrame, name: str, kind: str, day, action: str) -> DataFrame:
+        return df.select(F.lit(name).alias("list"), F.lit(kind).alias("kind"), F.col("h").alias("pattern"),
+                         F.date_add(start, day.cast("int")).alias("day"), F.lit(action).alias("action"))
+
+    n = F.col("n")
+    hosts, parents, steps = number(hosts), number(parents), number(steps)
+    spam, adult, ads, allow = hosts.filter("n % 3 = 0"), parents.filter("n % 4 = 1"), steps.filter("n % 6 = 2"), hosts.filter("n % 11 = 4")
+    parts = [entry(spam, "spam", "host", n % 400, "add"), entry(spam.filter("n % 5 <> 0"), "spam", "host", n % 400 + 60 + n % 90, "remove"),
+             entry(spam.filter("n % 7 = 0"), "spam", "host", n % 400 + 200 + n % 50, "add"),
+             entry(adult, "adult", "host", n % 500, "add"), entry(adult, "adult", "host", n % 500 + 30 + n % 100, "remove"),
+             entry(ads, "ads", "path", n % 600, "add"),
+             entry(allow, "allow", "host", n % 300, "add"), entry(allow, "allow", "host", n % 300 + 100, "remove")]
+    entries = parts[0]
+    for part in parts[1:]:
+        entries = entries.unionByName(part)
+    return captures, entries
+
+
+def op8_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import url_filter
+
+    captures, entries = url_history(table(spark, sf_dir, "pages"))
+    return url_filter.judge(captures, entries)
+
+
 def op9_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gamelake.llm import mixing
 
@@ -67,14 +128,81 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_forest": op2_quality_forest,
     "op3_language_spans": op3_language_spans,
+    "op4_nn_descent": op4_nn_descent,
+    "op5_warc_normaliser": op5_warc_normaliser,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity_kernel": op7_toxicity_kernel,
+    "op8_temporal_url_lists": op8_temporal_url_lists,
     "op9_temperature_mix": op9_temperature_mix,
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+OP8_SQL = r"""
+with page as (
+  select page_id, url, cast(date '2024-01-01' + cast(page_id * 7919 % 730 as integer) as date) as fetched,
+    lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) as host,
+    regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) as path
+  from pages
+),
+hosts as (select h, cast('0x' || substr(md5(h), 1, 8) as bigint) as n from (select distinct host as h from page where host <> '')),
+parents as (
+  select h, cast('0x' || substr(md5(h), 1, 8) as bigint) as n
+  from (select distinct array_to_string(string_split(h, '.')[2:], '.') as h from hosts where len(string_split(h, '.')) >= 3)
+),
+steps as (
+  select h, cast('0x' || substr(md5(h), 1, 8) as bigint) as n
+  from (select distinct lower(host || '/' || string_split(path, '/')[2]) as h from page where host <> '' and string_split(path, '/')[2] <> '')
+),
+entry as (
+  select 'spam' as list, 'host' as kind, h as pattern, n % 400 as d, true as adds from hosts where n % 3 = 0
+  union all select 'spam', 'host', h, n % 400 + 60 + n % 90, false from hosts where n % 3 = 0 and n % 5 <> 0
+  union all select 'spam', 'host', h, n % 400 + 200 + n % 50, true from hosts where n % 3 = 0 and n % 7 = 0
+  union all select 'adult', 'host', h, n % 500, true from parents where n % 4 = 1
+  union all select 'adult', 'host', h, n % 500 + 30 + n % 100, false from parents where n % 4 = 1
+  union all select 'ads', 'path', h, n % 600, true from steps where n % 6 = 2
+  union all select 'allow', 'host', h, n % 300, true from hosts where n % 11 = 4
+  union all select 'allow', 'host', h, n % 300 + 100, false from hosts where n % 11 = 4
+),
+daily as (
+  select list, kind, pattern, cast(date '2024-01-01' + cast(d as integer) as date) as day, bool_and(adds) as adds
+  from entry group by all
+),
+keyed as (
+  select page_id, fetched, 'host' as kind, array_to_string(labels[i:], '.') as pattern
+  from (select page_id, fetched, string_split(host, '.') as labels, unnest(range(1, len(string_split(host, '.')) + 1)) as i from page where host <> '')
+  union
+  select page_id, fetched, 'path', lower(host || array_to_string(steps[1:i], '/'))
+  from (select page_id, fetched, host, string_split(path, '/') as steps, unnest(range(2, len(string_split(path, '/')) + 1)) as i from page where host <> '')
+),
+last_word as (
+  select k.page_id, k.kind, k.pattern, d.list, arg_max(d.adds, d.day) as holds
+  from keyed k join daily d on d.kind = k.kind and d.pattern = k.pattern and d.day <= k.fetched
+  group by all
+),
+active as (select * from last_word where holds),
+per_page as (
+  select page_id, count(*) as n_active, string_agg(distinct list, ',' order by list) as lists,
+    bool_or(list <> 'allow') and not bool_or(list = 'allow') as blocked
+  from active group by page_id
+),
+best as (
+  select page_id, pattern from active
+  qualify row_number() over (partition by page_id order by length(pattern) desc, pattern) = 1
+)
+select p.page_id, p.host, p.fetched, coalesce(a.n_active, 0) as n_active, coalesce(a.lists, '') as lists, b.pattern,
+  coalesce(a.blocked, false) as blocked
+from page p left join per_page a using (page_id) left join best b using (page_id)
+"""
+
+ORACLE: dict[str, str] = {"op8_temporal_url_lists": OP8_SQL}
