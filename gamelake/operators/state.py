@@ -167,10 +167,16 @@ def apply_refresh(state: DataFrame, index: DataFrame, results: DataFrame, curren
                   ds: str) -> tuple[DataFrame, DataFrame]:
     """Fold refresh results into (state, index). Only a changed hash writes a
     new archive snapshot key and index lists; unchanged players keep their
-    pending count."""
+    pending count.
+
+    Results belong to (title, username) when they carry a title, else to the
+    player's active rows: a row whose player has left the title is not
+    stamped. A player's titles share one index row."""
     r = results.select("username", *[F.col(c).alias(f"r_{c}") for c in results.columns if c != "username"])
     ix = index.select("username", F.col("stored_months").alias("i_stored"))
-    s = state.join(r, "username", "left").join(ix, "username", "left")
+    r = r.withColumnRenamed("username", "r_username")
+    mine = (F.col("title") == F.col("r_title")) if "title" in results.columns else (F.col("status") == "active")
+    s = state.join(r, (F.col("username") == F.col("r_username")) & mine, "left").join(ix, "username", "left")
     got = F.col("r_archive_hash").isNotNull()
     changed = got & archive_changed("r_archive_hash", "archive_hash")
     pending = pending_backfill("r_archive_months", "i_stored", current_month)
@@ -189,7 +195,7 @@ def apply_refresh(state: DataFrame, index: DataFrame, results: DataFrame, curren
     # Index rows change only for changed players; new players get a row.
     ch = s.filter(changed).select(
         "username", F.col("r_archive_months").alias("archive_months"), pending.alias("pending_backfill_months"),
-        archive_snapshot_key("username", ds).alias("latest_archive_snapshot_key"))
+        archive_snapshot_key("username", ds).alias("latest_archive_snapshot_key")).dropDuplicates(["username"])
     new_index = (index.join(ch.withColumnRenamed("archive_months", "n_archive").withColumnRenamed(
         "pending_backfill_months", "n_pending").withColumnRenamed("latest_archive_snapshot_key", "n_key"),
         "username", "full_outer")
@@ -241,16 +247,19 @@ def sync_requests(state: DataFrame, month_key: str) -> DataFrame:
 
 
 def classify_responses(responses: DataFrame) -> DataFrame:
-    """304 -> not_modified; 404 or no body -> empty; else updated."""
-    status = (F.when(F.col("status_code") == 304, "not_modified")
-              .when((F.col("status_code") == 404) | F.col("game_count").isNull(), "empty")
-              .otherwise("updated"))
+    """304 -> not_modified; 404 -> empty; 2xx -> updated with a body, else empty;
+    any other answer (429, 5xx, none) -> error."""
+    code = F.col("status_code")
+    status = (F.when(code == 304, "not_modified").when(code == 404, "empty")
+              .when(code.between(200, 299), F.when(F.col("game_count").isNull(), "empty").otherwise("updated"))
+              .otherwise("error"))
     return responses.withColumn("sync_status", status)
 
 
 def apply_sync(state: DataFrame, requests: DataFrame, responses: DataFrame, checked_at: str) -> DataFrame:
     """Fold fetch results into the state: every answered request stamps the
-    sync time; only ``updated`` touches the current-month fields."""
+    sync time (a failed one leaves the state as it was); only ``updated``
+    touches the current-month fields."""
     cls = classify_responses(responses)
     res = requests.join(cls.select("username", "month_key", "sync_status", F.col("etag").alias("r_etag"),
                                    F.col("last_modified").alias("r_last_modified") if "last_modified" in responses.columns
@@ -260,7 +269,7 @@ def apply_sync(state: DataFrame, requests: DataFrame, responses: DataFrame, chec
     res = res.select("title", "username", F.col("month_key").alias("r_month"), "sync_status", "r_etag",
                      "r_last_modified", "r_game_count")
     s = state.join(res, ["title", "username"], "left")
-    answered = F.col("sync_status").isNotNull()
+    answered = F.col("sync_status").isNotNull() & (F.col("sync_status") != "error")
     upd = F.col("sync_status") == "updated"
     new = {
         "last_game_sync_at": F.when(answered, F.to_timestamp(F.lit(checked_at))).otherwise(F.col("last_game_sync_at")),
@@ -284,20 +293,21 @@ def sync_report(requests: DataFrame, responses: DataFrame) -> DataFrame:
 
 # --- F14 / F15 / F16 ------------------------------------------------------------------
 def backfill_queue(state: DataFrame, index: DataFrame, current_month: str,
-                   players_per_run: int = BACKFILL_PLAYERS_PER_RUN,
-                   months_per_player: int = BACKFILL_MONTHS_PER_PLAYER) -> DataFrame:
-    """Per title the first ``players_per_run`` players (by name) with pending
+                   players_per_run: int | None, months_per_player: int | None) -> DataFrame:
+    """Per title (all of them where a limit is None) the first ``players_per_run`` players (by name) with pending
     months, and for each the first ``months_per_player`` pending months other
     than the current one. The per-title top-k runs as a window whose partial
     limit is applied before the shuffle, so a title never gathers in one task
     whole."""
     from pyspark.sql import Window
     w = Window.partitionBy("title").orderBy(F.col("username").asc_nulls_last())
-    queued = (state.filter(F.coalesce("backfill_pending_count", F.lit(0)) > 0)
-              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= players_per_run).drop("_rn"))
+    queued = state.filter(F.coalesce("backfill_pending_count", F.lit(0)) > 0)
+    if players_per_run is not None:
+        queued = queued.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= players_per_run).drop("_rn")
     j = queued.select("title", "username").join(index.select("username", "pending_backfill_months"), "username", "left")
-    months = F.slice(F.filter(F.coalesce("pending_backfill_months", F.array().cast("array<string>")),
-                              lambda m: m != F.lit(current_month)), 1, months_per_player)
+    months = F.filter(F.coalesce("pending_backfill_months", F.array().cast("array<string>")), lambda m: m != F.lit(current_month))
+    if months_per_player is not None:
+        months = F.slice(months, 1, months_per_player)
     return j.select("title", "username", F.posexplode_outer(months).alias("month_pos", "month_key"))
 
 
@@ -305,17 +315,19 @@ def apply_backfill(queue: DataFrame, index: DataFrame, raw_present: DataFrame,
                    responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A queued month becomes stored if its raw file exists or the fetch
     returned a body; otherwise (404, empty) it stays pending. Returns the new
-    index and a per-player result (processed, remaining)."""
+    index (one row per username) and a result (processed, remaining) per
+    (title, username). A month that a player's two titles both queued is
+    fetched once and counts for the first title in name order."""
     q = queue.filter(F.col("month_key").isNotNull())
     have = raw_present.select("username", "month_key", F.lit(True).alias("_raw")).distinct()
     ok_fetch = classify_responses(responses).filter(F.col("sync_status") == "updated").select(
         "username", "month_key", F.lit(True).alias("_got")).distinct()
     marked = q.join(have, ["username", "month_key"], "left").join(ok_fetch, ["username", "month_key"], "left")
     done = F.coalesce("_raw", "_got", F.lit(False))
-    per_player = marked.groupBy("username").agg(
-        F.collect_set(F.when(done, F.col("month_key"))).alias("_add"),
-        F.sum(F.when(done, 1).otherwise(0)).alias("processed"))
-    queued = queue.select("username").distinct()
+    once = marked.groupBy("username", "month_key").agg(F.min("title").alias("title"), F.max(done).alias("_done"))
+    counted = once.groupBy("title", "username").agg(F.sum(F.when(F.col("_done"), 1).otherwise(0)).alias("processed"))
+    per_player = once.groupBy("username").agg(F.collect_set(F.when(F.col("_done"), F.col("month_key"))).alias("_add"))
+    queued = queue.select("title", "username").distinct().join(counted, ["title", "username"], "left")
     j = index.join(per_player, "username", "left")
     empty = F.array().cast("array<string>")
     # A player with eligible months gets its index rewritten (even when every
@@ -331,14 +343,14 @@ def apply_backfill(queue: DataFrame, index: DataFrame, raw_present: DataFrame,
     remaining = F.when(eligible, F.size(pending)).otherwise(F.size(F.coalesce("pending_backfill_months", empty)))
     # Every queued player reports, also one without an index row (nothing pending).
     result = queued.join(j, "username", "left").select(
-        "username", F.coalesce("processed", F.lit(0)).cast("bigint").alias("processed"),
+        "title", "username", F.coalesce("processed", F.lit(0)).cast("bigint").alias("processed"),
         F.coalesce(remaining, F.lit(0)).cast("int").alias("remaining"))
     return SC.conform(new_index, SC.PLAYER_INDEX), result
 
 
 def apply_backfill_result(state: DataFrame, result: DataFrame) -> DataFrame:
-    r = result.select("username", F.col("remaining").alias("_rem"))
-    s = state.join(r, "username", "left")
+    r = result.select("title", "username", F.col("remaining").alias("_rem"))
+    s = state.join(r, ["title", "username"], "left")
     got = F.col("_rem").isNotNull()
     return s.select(*[
         (F.when(got, F.col("_rem")).otherwise(F.col(n)) if n == "backfill_pending_count"
@@ -348,7 +360,7 @@ def apply_backfill_result(state: DataFrame, result: DataFrame) -> DataFrame:
 
 def backfill_report(state: DataFrame, result: DataFrame) -> DataFrame:
     """Per title: players processed, months processed, players still pending."""
-    j = state.select("title", "username").join(result, "username", "inner")
+    j = state.select("title", "username").join(result, ["title", "username"], "inner")
     return j.groupBy("title").agg(
         F.count(F.lit(1)).cast("bigint").alias("players"),
         F.sum("processed").cast("bigint").alias("months_processed"),
@@ -417,6 +429,6 @@ def bootstrap(latest_snapshots: DataFrame, latest_lists: DataFrame, stored: Data
     )
     index = j.select("username", st.alias("stored_months"), months.alias("archive_months"),
                      pending.alias("pending_backfill_months"), F.col("a_key").alias("latest_archive_snapshot_key"),
-                     F.current_timestamp().alias("updated_at"))
+                     F.current_timestamp().alias("updated_at")).dropDuplicates(["username"])
     return SC.conform(state, SC.PLAYER_STATE), SC.conform(index, SC.PLAYER_INDEX)
 

@@ -145,7 +145,7 @@ def after_refresh(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 def queue(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     s, ix = after_refresh(spark, sf)
-    return s, ix, ST.backfill_queue(s, ix, CURRENT)
+    return s, ix, ST.backfill_queue(s, ix, CURRENT, ST.BACKFILL_PLAYERS_PER_RUN, ST.BACKFILL_MONTHS_PER_PLAYER)
 
 
 def raw_present(spark, sf) -> DataFrame:
@@ -468,15 +468,16 @@ def q_backfill_apply(spark, sf):
 
 
 block("s_result", """
-select q.username,
-  cast((select count(*) from s_done d where d.username = q.username) as bigint) as processed,
+select q.title, q.username,
+  cast(case when q.title = (select min(f.title) from s_queue f where f.username = q.username)
+    then (select count(*) from s_done d where d.username = q.username) else 0 end as bigint) as processed,
   cast(case when q.username in (select username from s_eligible)
     then (select count(*) from s_pending1 p where p.username = q.username)
     else (select count(*) from s_ix_pending p where p.username = q.username) end as integer) as remaining
-from (select distinct username from s_queue) q""", ("s_queue", "s_done", "s_eligible", "s_pending1", "s_ix_pending"))
+from (select distinct title, username from s_queue) q""", ("s_queue", "s_done", "s_eligible", "s_pending1", "s_ix_pending"))
 
 
-@register("backfill_result", oracle("select username, processed, remaining from s_result", "s_result"))
+@register("backfill_result", oracle("select title, username, processed, remaining from s_result", "s_result"))
 def q_backfill_result(spark, sf):
     _, _, result = backfill(spark, sf)
     return result
@@ -485,7 +486,7 @@ def q_backfill_result(spark, sf):
 @register("backfill_report", oracle("""
 select s.title, count(*) as players, cast(sum(r.processed) as bigint) as months_processed,
   cast(sum(case when r.remaining > 0 then 1 else 0 end) as bigint) as players_still_pending
-from s_f9 s join s_result r on r.username = s.username group by s.title""", "s_f9", "s_result"))
+from s_f9 s join s_result r on r.username = s.username and r.title = s.title group by s.title""", "s_f9", "s_result"))
 def q_backfill_report(spark, sf):
     s, _, result = backfill(spark, sf)
     return ST.backfill_report(s, result)
@@ -610,4 +611,4 @@ from (select distinct username from s_boot_players) p left join s_latest_list l
 def q_bootstrap_index(spark, sf):
     _, ix = _bootstrap(spark, sf)
     return ix.select("username", _j("stored_months").alias("stored_months"), _j("archive_months").alias("archive_months"),
-                     _j("pending_backfill_months").alias("pending_backfill_months"), "latest_archive_snapshot_key").distinct()
+                     _j("pending_backfill_months").alias("pending_backfill_months"), "latest_archive_snapshot_key")

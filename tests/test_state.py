@@ -55,9 +55,9 @@ def test_refresh_due_rules(spark):
 
 def test_month_validation():
     with pytest.raises(ValueError):
-        months.validate_month_key("2024-13")
+        months.month_words("2024-13")
     with pytest.raises(ValueError):
-        months.validate_month_key("2024-1")
+        months.month_words("2024-1")
 
 
 def test_resolve_months_defaults_and_range(spark):
@@ -68,3 +68,46 @@ def test_resolve_months_defaults_and_range(spark):
     assert r == ["2023-11", "2023-12", "2024-01", "2024-02"]
     with pytest.raises(ValueError):
         months.resolve_months(spark, None, {"start_month": "2023-11"}, "2024-03-15")
+
+
+def test_two_titles_of_one_player(spark):
+    """A promoted player (FM yesterday, IM today): only the active row is refreshed,
+    one index row per player, a fetched month counts once."""
+    from gamelake import schemas as SC
+
+    rows = [("bo", "FM", "removed"), ("bo", "IM", "active"), ("cy", "GM", "active"), ("cy", "WGM", "active")]
+    state = SC.conform(spark.createDataFrame(rows, "username string, title string, status string"), SC.PLAYER_STATE)
+    url = "https://api.games.example/player/{}/games/2023/{}"
+    lists = spark.createDataFrame([(u, [url.format(u, "11"), url.format(u, "12")]) for u in ("bo", "cy")], "username string, archives array<string>")
+    res = ST.refresh_results(lists, "2024-01", "2024-01-01 10:00:00")
+    s1, ix1 = ST.apply_refresh(state, ST.empty_index(spark), res, "2024-01", "2024-01-01")
+    got = {(r.username, r.title): r for r in s1.collect()}
+    assert got["bo", "FM"].archive_last_checked_at is None and got["bo", "IM"].backfill_pending_count == 2
+    assert sorted(r.username for r in ix1.collect()) == ["bo", "cy"]
+    queue = ST.backfill_queue(s1, ix1, "2024-01", None, None)
+    assert queue.count() == 6
+    raw_present = spark.createDataFrame([], "username string, month_key string")
+    answers = spark.createDataFrame([("cy", "2023-11", 200, 3), ("cy", "2023-12", 500, 3), ("bo", "2023-11", 429, 2)],
+                                    "username string, month_key string, status_code int, game_count int")
+    ix2, result = ST.apply_backfill(queue, ix1, raw_present, answers)
+    by = {(r.title, r.username): (r.processed, r.remaining) for r in result.collect()}
+    assert by == {("IM", "bo"): (0, 2), ("GM", "cy"): (1, 1), ("WGM", "cy"): (0, 1)}
+    assert sorted(r.username for r in ix2.collect()) == ["bo", "cy"]
+    report = {r.title: (r.players, r.months_processed) for r in ST.backfill_report(s1, result).collect()}
+    assert report == {"IM": (1, 0), "GM": (1, 1), "WGM": (1, 0)}
+
+
+def test_failed_answers_leave_the_state(spark):
+    answers = spark.createDataFrame([(200, 3), (200, None), (304, None), (404, None), (429, 5), (500, None), (None, None)],
+                                    "status_code int, game_count int")
+    got = [r.sync_status for r in ST.classify_responses(answers).collect()]
+    assert got == ["updated", "empty", "not_modified", "empty", "error", "error", "error"]
+
+
+def test_pivot_keeps_every_title(spark):
+    from gamelake.operators import explore
+
+    df = spark.createDataFrame([("2024-01", "GM", 1.0), ("2024-01", "XX", 2.0)], "month_key string, title string, v double")
+    row = explore.pivot_by_title(df, "v").collect()[0]
+    assert row.asDict() == {"month_key": "2024-01", "GM": 1.0, "XX": 2.0}
+    assert explore.pivot_by_title(df, "v", ["GM"]).columns == ["month_key", "GM"]
