@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamelake import schemas as SC
@@ -47,32 +47,38 @@ def build_bronze_months(spark: SparkSession, raw_root: str, lake_root: str, mont
     if roster_members is not None:
         merged = bronze.title_enrich(merged, bronze.title_lookup(roster_members))
     games = bronze.with_game_bucket(bronze.games_core_rows(merged.drop("white_username", "black_username")), buckets)
-    og, of = Observation("bronze_games"), Observation("bronze_facts")
-    games = games.observe(og, F.count(F.lit(1)).alias("unique_games"))
-    if months:
-        # Months in the selection that yield no games must not keep old output.
-        lake.clear_months(spark, lake_root, lake.BRONZE_GAMES, months)
-        lake.clear_months(spark, lake_root, lake.BRONZE_FACTS, months)
     full = not months
+    # A selected month without raw documents keeps its bronze.
+    present = sorted(r["k"] for r in feed.select(X.month_key("year", "month").alias("k")).distinct().collect()) if months else []
+    if months and not present:
+        return {"unique_games": 0, "player_rows": 0}
+    old_games = lake.month_files(spark, lake_root, lake.BRONZE_GAMES, present)
+    old_facts = lake.month_files(spark, lake_root, lake.BRONZE_FACTS, present)
     lake.write_bronze_games(games, lake_root, files_per_bucket, replace_all=full)
-    written = lake.read_bronze_games(spark, lake_root, months).drop("bucket")
+    lake.clear_unwritten(spark, lake_root, lake.BRONZE_GAMES, old_games)
+    written = lake.read_bronze_games(spark, lake_root, present or None).drop("bucket")
     facts = bronze.with_fact_bucket(bronze.player_rows(written), buckets)
     facts = SC.conform(facts, SC.MONTH_PARTS + SC.PLAYER_FACTS + [("bucket", SC.S)])
-    facts = facts.observe(of, F.count(F.lit(1)).alias("player_rows"))
     lake.write_bronze_facts(facts, lake_root, files_per_bucket, replace_all=full)
-    return {**og.get, **of.get}
+    lake.clear_unwritten(spark, lake_root, lake.BRONZE_FACTS, old_facts)
+    # Row counts of the written files (Parquet footers).
+    return {"unique_games": written.count(),
+            "player_rows": lake.read_bronze_facts(spark, lake_root, present or None).count()}
+
+
+def write_months(spark: SparkSession, df: DataFrame, lake_root: str, table: str, months: Sequence[str] | None) -> None:
+    """Write a month table; selected months that gave no rows are cleared afterwards."""
+    before = lake.month_files(spark, lake_root, table, list(months or []))
+    lake.write_month_table(df, lake_root, table, replace_all=not months)
+    lake.clear_unwritten(spark, lake_root, table, before)
 
 
 def build_silver(spark: SparkSession, lake_root: str, months: Sequence[str] | None,
                  roster: DataFrame | None = None) -> None:
     g = silver.silver_games(silver.stage_games(lake.read_bronze_games(spark, lake_root, months)))
     f = silver.silver_facts(silver.stage_facts(lake.read_bronze_facts(spark, lake_root, months)))
-    if months:
-        lake.clear_months(spark, lake_root, lake.SILVER_GAMES, months)
-        lake.clear_months(spark, lake_root, lake.SILVER_FACTS, months)
-    full = not months
-    lake.write_month_table(g, lake_root, lake.SILVER_GAMES, replace_all=full)
-    lake.write_month_table(f, lake_root, lake.SILVER_FACTS, replace_all=full)
+    write_months(spark, g, lake_root, lake.SILVER_GAMES, months)
+    write_months(spark, f, lake_root, lake.SILVER_FACTS, months)
     if roster is not None:
         # A8: bronze roster by (snapshot_date, title), then silver from the written table.
         lake.write_roster(roster.select("snapshot_date", "title", "username", "snapshot_player_count",
@@ -83,26 +89,24 @@ def build_silver(spark: SparkSession, lake_root: str, months: Sequence[str] | No
 
 
 def build_gold(spark: SparkSession, lake_root: str, months: Sequence[str] | None) -> None:
-    games = lake.read(spark, lake_root, lake.SILVER_GAMES, months)
-    facts = lake.read(spark, lake_root, lake.SILVER_FACTS, months)
+    none = {t: spark.createDataFrame([], s) for t, s in lake.TABLE_SCHEMAS.items()}
+    games_schema = silver.silver_games(silver.stage_games(none[lake.BRONZE_GAMES])).schema
+    facts_schema = silver.silver_facts(silver.stage_facts(none[lake.BRONZE_FACTS])).schema
+    games = lake.read(spark, lake_root, lake.SILVER_GAMES, months, games_schema)
+    facts = lake.read(spark, lake_root, lake.SILVER_FACTS, months, facts_schema)
     marts = {
         "title_month_activity": gold.title_month_activity(facts),
         "title_month_rating_volatility": gold.title_month_volatility(facts),
         "title_month_color_performance": gold.title_month_color(facts),
     }
     for name, df in marts.items():
-        if months:
-            lake.clear_months(spark, lake_root, f"gold/{name}", months)
-        lake.write_month_table(df, lake_root, f"gold/{name}", replace_all=not months)
-    if months:
-        lake.clear_months(spark, lake_root, "gold/head_to_head_games", months)
-        lake.clear_months(spark, lake_root, "gold/head_to_head_monthly", months)
-    lake.write_month_table(gold.h2h_games(games), lake_root, "gold/head_to_head_games", replace_all=not months)
-    pair_games = lake.read(spark, lake_root, "gold/head_to_head_games", months)
-    lake.write_month_table(gold.h2h_monthly(pair_games), lake_root, "gold/head_to_head_monthly",
-                           replace_all=not months)
+        write_months(spark, df, lake_root, f"gold/{name}", months)
+    pairs = gold.h2h_games(games)
+    write_months(spark, pairs, lake_root, "gold/head_to_head_games", months)
+    monthly = gold.h2h_monthly(lake.read(spark, lake_root, "gold/head_to_head_games", months, pairs.schema))
+    write_months(spark, monthly, lake_root, "gold/head_to_head_monthly", months)
     # The all-time mart is rebuilt once from every month's monthly mart.
-    monthly_all = lake.read(spark, lake_root, "gold/head_to_head_monthly")
+    monthly_all = lake.read(spark, lake_root, "gold/head_to_head_monthly", schema=monthly.schema)
     lake.write_full(gold.h2h_summary(monthly_all), lake_root, lake.GOLD_SUMMARY)
 
 

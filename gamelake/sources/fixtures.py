@@ -9,8 +9,6 @@ both engines see identical inputs whose size grows with the scale factor.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 from gamelake.session import configure
@@ -146,19 +144,8 @@ def _placeholders(text: str) -> list[str]:
     return [t for t in BASE_TABLES if "{" + t + "}" in text]
 
 
-def oracle_cte(*names: str) -> str:
-    """``WITH`` clause defining the named fixture views for DuckDB."""
-    parts = []
-    for name in names:
-        text = VIEWS[name].format(**{t: t for t in BASE_TABLES})
-        parts.append(f"{name} as (\n{text.strip()}\n)")
-    return "with " + ",\n".join(parts) + "\n"
-
-
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from gamelake.session import spread_small_scan
-
-    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -169,11 +156,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
-@lru_cache(maxsize=None)
-def oracle_view_names() -> tuple[str, ...]:
-    return tuple(VIEWS)
-
-
 # ---------------------------------------------------------------------------
 # Raw landing zone built from fx_feed (JSON written and read back by Spark)
 # ---------------------------------------------------------------------------
@@ -235,13 +217,24 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("raw_key", r"username=([^/]+)\.json$", 1).alias("feed"))
 
 
+def input_token(spark: SparkSession, sf_dir: str) -> str:
+    """Names one input in one application: its files with sizes and times, and
+    the application, so that neither changed data nor changed code meets an
+    older answer in a shared folder."""
+    from gamelake.session import path_token
+    from gamelake.sources import raw
+
+    files = [f for t in BASE_TABLES for f in raw.file_marks(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")]
+    return path_token("\n".join([spark.sparkContext.applicationId, sf_dir.rstrip("/"), *sorted(files)]))
+
+
 def landing_zone(spark: SparkSession, sf_dir: str) -> str:
     """Write the fixture feed documents once per input directory under the
     checkpoint root and return the ``player_games`` root."""
-    from gamelake.session import path_token, scratch_path
+    from gamelake.session import scratch_path
     from gamelake.sources import raw
 
-    root = scratch_path(spark, "fixture", path_token(sf_dir.rstrip("/")), "raw", "player_games")
+    root = scratch_path(spark, "fixture", input_token(spark, sf_dir), "raw", "player_games")
     return raw.publish(spark, root, lambda tmp: raw.write_feed(feed_documents(spark, sf_dir), tmp))
 
 
@@ -249,11 +242,11 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
     """Run the layered build once per input directory over the fixture
     landing zone (all months) and return the lake root."""
     from gamelake.plans import pipeline
-    from gamelake.session import path_token, scratch_path
+    from gamelake.session import scratch_path
     from gamelake.sources import raw
 
     raw_root = landing_zone(spark, sf_dir)
-    root = scratch_path(spark, "fixture", path_token(sf_dir.rstrip("/")), "lake")
+    root = scratch_path(spark, "fixture", input_token(spark, sf_dir), "lake")
 
     def build(tmp: str) -> None:
         pipeline.run(spark, raw_root, tmp, months=None, roster_members=titles(spark, sf_dir),

@@ -38,6 +38,26 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files under ``path`` (none if it does not exist)."""
+    return [f.getPath().toString() for f in _files(spark, path)]
+
+
+def file_marks(spark: SparkSession, path: str) -> list[str]:
+    """Name, size and time of all files under ``path``."""
+    return [f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}" for f in _files(spark, path)]
+
+
+def _files(spark: SparkSession, path: str) -> list:
+    fs, p = _fs(spark, path)
+    found = []
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            found.append(files.next())
+    return found
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p = _fs(spark, src)
     jvm = spark.sparkContext._jvm
@@ -67,9 +87,11 @@ def publish(spark: SparkSession, path: str, write) -> str:
 # --- A1 feed documents ----------------------------------------------------------
 def read_feed(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
     """All feed documents under ``root`` (``.../player_games``); ``raw_key`` is
-    the file path. One document per file, so each file is one JSON value."""
+    the file path. One document per file, so each file is one JSON value; a
+    file that is none (cut short, say) fails the job instead of passing as an
+    empty document."""
     configure(spark)
-    df = (spark.read.schema(SC.FEED_DOC).option("multiLine", True).option("mode", "PERMISSIVE")
+    df = (spark.read.schema(SC.FEED_DOC).option("multiLine", True).option("mode", "FAILFAST")
           .option("recursiveFileLookup", False).json(root))
     df = df.withColumn("raw_key", F.col("_metadata.file_path"))
     if months:
@@ -95,13 +117,13 @@ def write_feed(docs: DataFrame, root: str, mode: str = "overwrite") -> None:
 # --- A2 / A3 roster and archive snapshots ----------------------------------------------
 def read_rosters(spark: SparkSession, root: str) -> DataFrame:
     configure(spark)
-    return (spark.read.schema(SC.ROSTER_DOC).option("multiLine", True).json(root)
+    return (spark.read.schema(SC.ROSTER_DOC).option("multiLine", True).option("mode", "FAILFAST").json(root)
             .withColumn("raw_key", F.col("_metadata.file_path")))
 
 
 def read_archive_lists(spark: SparkSession, root: str) -> DataFrame:
     configure(spark)
-    return (spark.read.schema(SC.ARCHIVE_DOC).option("multiLine", True).json(root)
+    return (spark.read.schema(SC.ARCHIVE_DOC).option("multiLine", True).option("mode", "FAILFAST").json(root)
             .withColumn("raw_key", F.col("_metadata.file_path")))
 
 
