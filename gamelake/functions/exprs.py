@@ -190,18 +190,3 @@ def month_list_hash(months: str | Column) -> Column:
     m = col(months)
     body = F.when(F.size(m) > 0, F.concat(F.lit('["'), F.array_join(m, '", "'), F.lit('"]'))).otherwise(F.lit("[]"))
     return F.sha2(body, 256)
-
-
-# --- ordering helper for first-wins merges -----------------------------------
-def order_key(*specs: tuple[str | Column, str]) -> Column:
-    """Struct usable as a ``min_by`` ordering with SQL ``ORDER BY`` semantics.
-
-    ``specs`` are ``(column, 'asc' | 'desc')``; nulls sort last either way.
-    ``desc`` is only for numeric columns.
-    """
-    fields = []
-    for i, (c, direction) in enumerate(specs):
-        c = col(c)
-        fields.append(c.isNull().alias(f"n{i}"))
-        fields.append((-c if direction == "desc" else c).alias(f"v{i}"))
-    return F.struct(*fields)

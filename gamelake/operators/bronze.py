@@ -94,15 +94,10 @@ def title_lookup(roster_members: DataFrame) -> DataFrame:
     return m.groupBy("username").agg(F.min_by("title", "prio").alias("title"))
 
 
-def title_enrich(games: DataFrame, lookup: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
-    """Exact (case-sensitive) username match on both sides.
-
-    With ``broadcast_max_rows`` the lookup is counted and broadcast only when
-    it is within the bound; otherwise AQE picks the join from runtime sizes.
-    """
+def title_enrich(games: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Exact (case-sensitive) username match on both sides; AQE picks the join
+    from runtime sizes."""
     lk = lookup.select("username", "title")
-    if broadcast_max_rows is not None and lk.count() <= broadcast_max_rows:
-        lk = F.broadcast(lk)
     w = lk.select(F.col("username").alias("_wu"), F.col("title").alias("white_title"))
     b = lk.select(F.col("username").alias("_bu"), F.col("title").alias("black_title"))
     out = games.join(w, games["white_username"] == w["_wu"], "left").drop("_wu")
@@ -191,8 +186,8 @@ def roster_rows(snapshots: DataFrame) -> DataFrame:
 
 
 # --- whole bronze build -------------------------------------------------------
-def build_bronze(feed: DataFrame, roster_members: DataFrame | None, buckets: int = X.DEFAULT_BUCKETS,
-                 broadcast_max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def build_bronze(feed: DataFrame, roster_members: DataFrame | None,
+                 buckets: int = X.DEFAULT_BUCKETS) -> tuple[DataFrame, DataFrame]:
     """Feed documents (with raw_key) + (title, username) roster memberships ->
     (games_core, player_game_facts), both with their bucket column."""
     lookup = title_lookup(roster_members) if roster_members is not None else None
@@ -200,7 +195,7 @@ def build_bronze(feed: DataFrame, roster_members: DataFrame | None, buckets: int
     merged = merged.withColumn("white_username", F.col("white.username")).withColumn(
         "black_username", F.col("black.username"))
     if lookup is not None:
-        merged = title_enrich(merged, lookup, broadcast_max_rows)
+        merged = title_enrich(merged, lookup)
     merged = merged.drop("white_username", "black_username")
     games = with_game_bucket(games_core_rows(merged), buckets)
     facts = with_fact_bucket(player_rows(games), buckets)

@@ -164,9 +164,16 @@ def player_games(facts: DataFrame, username: str, month_key: str, game_date: str
 
 
 # --- E17 / E18 / E19 ----------------------------------------------------------------
-def pivot_by_title(df: DataFrame, value: str, titles: Sequence[str] = X.TITLES) -> DataFrame:
-    """Month x title grid of one measure; a missing cell is 0. The title list
-    is explicit, so Spark needs no extra pass to find the pivot values."""
+def pivot_by_title(df: DataFrame, value: str, titles: Sequence[str] | None = None) -> DataFrame:
+    """Month x title grid of one measure; a missing cell is 0.
+
+    The columns are the caller's ``titles`` (a title filter), else the titles
+    the result holds: one small distinct, the known ones first, then any
+    others by name.
+    """
+    if titles is None:
+        held = {r["title"] for r in df.select("title").filter(F.col("title").isNotNull()).distinct().collect()}
+        titles = [t for t in X.TITLES if t in held] + sorted(held - set(X.TITLES))
     return (df.groupBy("month_key").pivot("title", list(titles)).agg(F.first(value)).fillna(0)
             .orderBy("month_key"))
 

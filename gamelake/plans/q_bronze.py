@@ -319,8 +319,8 @@ def q_bronze_roster(spark, sf):
 select title, snapshot_date, cast(count(*) as integer) as player_count from fx_roster group by 1, 2
 """, "fx_roster"))
 def q_roster_scan(spark, sf):
-    from gamelake.session import path_token, scratch_path
-    root = scratch_path(spark, "fixture", path_token(sf.rstrip("/")), "raw", "titled_players")
+    from gamelake.session import scratch_path
+    root = scratch_path(spark, "fixture", fixtures.input_token(spark, sf), "raw", "titled_players")
 
     def write(tmp):
         (roster_documents(spark, sf).withColumn("t", F.col("title")).withColumn("d", F.col("snapshot_date"))

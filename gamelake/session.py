@@ -51,11 +51,14 @@ def build(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "gam
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private one created.
+    Only a local session that has none (tests) gets a private one; on a
+    cluster every executor would write to its own disk, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="gamelake-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
@@ -70,19 +73,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def path_token(text: str) -> str:
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:12]
 
-
-def spread_small_scan(df):
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A table stored as one Parquet row group is read by a single task, and
-    every narrow step after it (regexes, hashes) would run single-threaded
-    until the first shuffle. Only then is a hash repartition added, on the
-    table's leading (key) column: no pre-sort as with round robin, and the
-    scan still reads only the columns the query uses. A scan of many files
-    is left alone, so at scale this costs nothing.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, df.columns[0])
-    return df
