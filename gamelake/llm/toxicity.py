@@ -36,6 +36,7 @@ TOXIC_WORDS, CLEAN_WORDS = 1500, 5000
 #: Rounds of training; after each but the last, the clean words nearest to toxic ones join.
 ROUNDS, HARD_WORDS = 4, 2500
 DECAY, SPAN = 0.7, 7
+LONG = 20
 LETTERS = 32
 SEQUENCES = LETTERS ** 3
 
@@ -60,10 +61,11 @@ _WEIGHTS = np.asarray([DECAY ** (j + 1) for _, j in _GAPS])
 
 
 def _word_scale(n: np.ndarray) -> np.ndarray:
-    """Length of a word's image if all its subsequences were distinct."""
-    n = np.asarray(n)[:, None]
-    places = np.maximum(n - np.asarray([j for _, j in _GAPS])[None, :], 0)
-    return np.sqrt((places * _WEIGHTS[None, :] ** 2).sum(axis=1))
+    """Length of a word's image if all its subsequences were distinct; beyond
+    ``LONG`` letters it grows with the word, so that repetition adds nothing."""
+    n = np.asarray(n)
+    places = np.maximum(np.minimum(n, LONG)[:, None] - np.asarray([j for _, j in _GAPS])[None, :], 0)
+    return np.sqrt((places * _WEIGHTS[None, :] ** 2).sum(axis=1)) * np.maximum(n / LONG, 1.0)
 
 
 def fold(block: blocks.Block) -> blocks.Block:
@@ -82,7 +84,8 @@ def fold(block: blocks.Block) -> blocks.Block:
     starts, ends = wide.runs(~space)
     joined = np.zeros(len(codes), dtype=bool)
     if len(starts):
-        single = (ends - starts == 1) & (letters[starts] > 0)
+        count = np.concatenate([[0], np.cumsum(letters > 0)])
+        single = count[ends] - count[starts] == 1
         near = np.zeros(len(starts), dtype=bool)
         near[1:] = (starts[1:] - ends[:-1] == 1) & (wide.doc_of(starts[1:]) == wide.doc_of(starts[:-1])) & single[1:] & single[:-1]
         run = np.cumsum(~near)
