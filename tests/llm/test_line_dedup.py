@@ -21,6 +21,17 @@ def distance(a, b):
     return last[-1]
 
 
+def within(a, b, edits):
+    """Whether at most ``edits`` edits lead from a to b (tries each edit at the first difference)."""
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    if not a or not b:
+        return max(len(a), len(b)) <= edits
+    return edits > 0 and (within(a[1:], b[1:], edits - 1) or within(a[1:], b, edits - 1) or within(a, b[1:], edits - 1))
+
+
 def brute(rows, edits=2, least=20):
     """doc_id -> text after dedup, for distinct doc_ids."""
     seen = {}
@@ -38,7 +49,7 @@ def brute(rows, edits=2, least=20):
     names = [x for x in seen if len(x) >= least]
     for i, a in enumerate(names):
         for b in names[i + 1:]:
-            if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+            if abs(len(a) - len(b)) <= edits and within(a, b, edits):
                 top[find(a)] = find(b)
     head = {}
     for line in seen:
