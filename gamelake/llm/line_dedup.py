@@ -35,22 +35,24 @@ def _lines(docs: DataFrame) -> DataFrame:
             .select("doc_id", "pos", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2")))
 
 
-def segment_keys(line: Column, n: Column, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> Column:
-    """Array of the keys a line of ``n`` code points is listed and looked up under."""
+def segment_keys(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(key, h): the keys each line (h, line, n code points) is listed and looked up under.
+
+    One row per choice of (how many code points shorter the shorter line is,
+    segment, shift of the segment), computed row by row in generated code.
+    """
     parts = max_edits + 1
-    keys = []
-    for less in range(max_edits + 1):  # the shorter line has n - less code points
-        length = n - less
-        base = F.floor(length / parts).cast("int")
-        plain = parts - (length - base * parts)  # so many segments of the base length come first
-        for i in range(parts):
-            size = base + F.when(i >= plain, 1).otherwise(0)
-            start = base * i + F.greatest(F.lit(0), F.lit(i) - plain) + 1
-            for move in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1):
-                at = start + move
-                fits = (length >= min_chars) & (at >= 1) & (at + size - 1 <= n)
-                keys.append(F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, at.cast("int"), size.cast("int")))))
-    return F.array(*keys)
+    choices = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(move).alias("move"))
+                        for less in range(max_edits + 1) for i in range(parts)
+                        for move in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1)])
+    rows = lines.select("h", "line", "n", F.explode(choices).alias("c")).select(
+        "h", "line", "n", (F.col("n") - F.col("c.less")).alias("length"), F.col("c.i").alias("i"), F.col("c.move").alias("move"))
+    base = F.expr(f"cast(length div {parts} as int)")
+    plain = F.lit(parts) - F.col("length") % parts  # so many segments of the base length come first
+    size = base + F.when(F.col("i") >= plain, 1).otherwise(0)
+    at = base * F.col("i") + F.greatest(F.lit(0), F.col("i") - plain) + 1 + F.col("move")
+    return (rows.filter(F.col("length") >= min_chars).filter((at >= 1) & (at + size - 1 <= F.col("n")))
+            .select(F.xxhash64("length", "i", F.substring("line", at, size)).alias("key"), "h"))
 
 
 def within_edits(a: Column, b: Column, max_edits: int = MAX_EDITS) -> Column:
@@ -120,8 +122,7 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
 
     chars = F.char_length("line")
     long_lines = lines.filter("doc_id is not null").filter(chars >= min_chars)
-    keyed = (long_lines.select("h", F.explode(segment_keys(F.col("line"), chars, max_edits, min_chars)).alias("key"))
-             .filter("key is not null"))
+    keyed = segment_keys(long_lines.select("h", "line", chars.alias("n")), max_edits, min_chars)
     shared = written(keyed.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo <> hi").select("key"), "shared-keys")
     members = written(keyed.filter(may_hold(sieve(shared, "key"), F.col("key"))).distinct()
                       .join(shared, "key", "left_semi").select("key", F.col("h").alias("id")), "line-buckets")
@@ -131,14 +132,19 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
                     .join(needed, F.col("h") == F.col("id"), "left_semi").groupBy("h").agg(F.min("line").alias("line"))
                     .withColumn("counts", counts), "line-texts")
 
+    def near_counts(x: str, y: str) -> Column:
+        return F.aggregate(F.zip_with(F.col(x), F.col(y), lambda p, q: F.abs(p - q)), F.lit(0), lambda s, p: s + p) <= 2 * max_edits
+
+    def counted(ids: DataFrame) -> DataFrame:
+        return texts.join(ids, F.col("h") == F.col("id"), "left_semi").select(F.col("h").alias("id"), F.col("counts").alias("profile"))
+
     def check(pairs: DataFrame) -> DataFrame:
         one = texts.select(F.col("h").alias("a"), F.col("line").alias("line_a"), F.col("counts").alias("counts_a"))
         two = texts.select(F.col("h").alias("b"), F.col("line").alias("line_b"), F.col("counts").alias("counts_b"))
-        apart = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-        alike = pairs.join(one, "a").join(two, "b").filter(apart <= 2 * max_edits)
+        alike = pairs.join(one, "a").join(two, "b").filter(near_counts("counts_a", "counts_b"))
         return alike.filter(within_edits(F.col("line_a"), F.col("line_b"), max_edits)).select("a", "b")
 
-    comps, links = linked_components(members, check)
+    comps, links = linked_components(members, check, (counted, near_counts))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     tied = (classes.join(comps, F.col("h") == F.col("id"), "left").drop("id").join(degree, F.col("h") == F.col("id"), "left").drop("id")
             .withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
@@ -176,8 +182,10 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     parts = F.split(F.col("_doc.text").cast("string"), "\n")
     gone = F.coalesce("gone", F.array().cast("array<bigint>"))
     # A line stays if it has no word, or is not lost and is the first of its kind in its text.
-    kept = F.filter(parts, lambda line, i: ~line.rlike(r"[^\x20\x09-\x0D]")
-                    | (~F.array_contains(gone, F.xxhash64(line)) & (F.array_position(parts, line) == i + 1)))
+    # The split text and the lost hashes are bound once, for all lines.
+    kept = F.element_at(F.transform(F.array(F.struct(parts.alias("all"), gone.alias("gone"))), lambda s: F.filter(
+        s["all"], lambda line, i: ~line.rlike(r"[^\x20\x09-\x0D]")
+        | (~F.array_contains(s["gone"], F.xxhash64(line)) & (F.array_position(s["all"], line) == i + 1)))), 1)
     whole = F.col("_doc.doc_id").isNull() | F.col("_doc.text").isNull()
     done = joined.select("_doc", parts.alias("_parts"), F.when(whole, parts).otherwise(kept).alias("_kept"))
     size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long")
