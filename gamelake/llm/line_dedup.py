@@ -24,7 +24,7 @@ MAX_EDITS = 2
 #: Shorter lines (code points) are joined only if equal: two edits would be too large a part of them.
 MIN_CHARS = 20
 #: Letter classes whose counts differ by at most 2 * edits in near lines.
-_CLASSES = ("ae", "io", "un", "rs", "tl", "dc", "mhp", "gb", "fvwyjkqxz", " .,", "0123456789")
+_CLASSES = (*"abcdefghijklmnopqrstuvwxyz", " .,", "0123456789")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
