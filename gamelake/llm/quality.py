@@ -1,11 +1,14 @@
 """Quality rules as statistics of whole texts, judged by an isolation forest.
 
-The rule statistics of a document (by how much its symbols, repeats, case,
-word lengths ... exceed ``RULES``) are points; a forest of random splits
+The rule statistics of a document (its rates of symbols, repeats, case, word
+lengths ..., as log1p, without limits) are points; a forest of random splits
 isolates anomalous points after few steps. The forest is fitted on a bounded random sample (``TREES`` trees of
-``SAMPLE`` documents each, drawn by a hash of the doc_id); every document is
-scored, and the score above which a document is rejected is calibrated on all
-labelled rows.
+``SAMPLE`` documents each, drawn by a hash of the doc_id), each tree on a few
+statistics. Trees count by how well their path lengths tell good from bad in a
+bounded sample of the labelled rows, so that statistics in which good documents
+vary as widely as bad ones do not hide the others. Every document is scored,
+and the score above which a document is rejected is calibrated on all labelled
+rows.
 """
 
 from __future__ import annotations
@@ -19,6 +22,10 @@ from gamelake.llm import blocks
 from gamelake.llm.tables import small_batches, written
 
 TREES, SAMPLE = 128, 256
+#: Most statistics a tree splits.
+TREE_FEATURES = 3
+#: Score bins of the calibration.
+BINS = 2000
 #: Share of good labelled documents that the calibrated threshold may reject.
 MAX_LOSS = 0.005
 WINDOW = 8
@@ -41,13 +48,9 @@ _IS_CHAR[0x80:0xC0] = 0
 _IS_CHAR[blocks.WORD_SPACE] = 0
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Statistic -> (lowest, highest) usual value; the forest sees the excess, at most 1.
-RULES = {
-    "symbol_rate": (0.0, 0.1), "mark_rate": (0.0, 0.2), "dup_line_share": (0.0, 0.5), "repeat_share": (0.0, 0.3),
-    "upper_share": (0.0, 0.3), "digit_share": (0.0, 0.2), "mean_word": (3.0, 10.0), "same_as_last": (0.0, 0.15),
-    "bare_word_share": (0.0, 0.2),
-}
-FEATURES = tuple(RULES)
+#: The rates, as log1p, are the points that the forest splits.
+FEATURES = ("symbol_rate", "mark_rate", "dup_line_share", "repeat_share", "upper_share", "digit_share", "mean_word",
+            "same_as_last", "bare_word_share")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in COUNTS],
                      *[(f, pa.float64()) for f in FEATURES]])
 _DDL = ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], *[f"{f} double" for f in FEATURES]])
@@ -111,10 +114,6 @@ def block_statistics(block: blocks.Block) -> dict[str, np.ndarray]:
     n_letters = np.maximum(per_text(_IS_LETTER[buf]), 1)
     repeat = per_text(covered, first)
 
-    def excess(name: str, value: np.ndarray) -> np.ndarray:
-        low, high = RULES[name]
-        return np.where(n_words > 0, np.clip(np.maximum(low - value, value - high), 0.0, 1.0), 0.0)
-
     rates = {
         "symbol_rate": n_symbols / some, "mark_rate": per_text(_IS_MARK[buf]) / some,
         "dup_line_share": dup_lines / np.maximum(lines, 1), "repeat_share": repeat / some,
@@ -124,7 +123,7 @@ def block_statistics(block: blocks.Block) -> dict[str, np.ndarray]:
     }
     counts = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": dup_lines,
               "n_repeat_words": repeat}
-    return counts | {name: excess(name, value) for name, value in rates.items()}
+    return counts | {name: np.log1p(np.where(n_words > 0, value, 0.0)) for name, value in rates.items()}
 
 
 def _statistics(batches):
@@ -151,12 +150,16 @@ def _usual_path(n: float) -> float:
 
 
 def grow(points: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 7) -> list[dict[str, np.ndarray]]:
-    """Isolation trees as flat arrays (feature -1: leaf, whose value is its path length)."""
+    """Isolation trees as flat arrays (feature -1: leaf, whose value is its path length).
+
+    Each tree splits 1 to ``TREE_FEATURES`` features, drawn anew.
+    """
     rng = np.random.default_rng(seed)
     limit = int(np.ceil(np.log2(max(sample, 2)))) + 2
     forest = []
     for _ in range(trees if len(points) else 0):
         rows = points[rng.choice(len(points), min(sample, len(points)), replace=False)]
+        own = rng.choice(points.shape[1], min(int(rng.integers(1, TREE_FEATURES + 1)), points.shape[1]), replace=False)
         feature, value, left, right = [], [], [], []
 
         def node(part: np.ndarray, depth: int) -> int:
@@ -166,7 +169,7 @@ def grow(points: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int
             left.append(me)
             right.append(me)
             low, high = part.min(axis=0), part.max(axis=0)
-            spread = np.flatnonzero(high > low)
+            spread = own[high[own] > low[own]]
             if depth < limit and len(part) > 1 and len(spread):
                 f = int(rng.choice(spread))
                 cut = rng.uniform(low[f], high[f])
@@ -181,13 +184,11 @@ def grow(points: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int
     return forest
 
 
-def anomaly(points: np.ndarray, forest: list[dict[str, np.ndarray]], sample: int = SAMPLE) -> np.ndarray:
-    """Isolation score in (0, 1); 0.5 is usual, larger is more anomalous."""
-    if not forest:
-        return np.full(len(points), 0.5)
-    total = np.zeros(len(points))
+def paths(points: np.ndarray, forest: list[dict[str, np.ndarray]], sample: int = SAMPLE) -> np.ndarray:
+    """Path length of each point in each tree; 1 is usual, shorter is more anomalous."""
+    out = np.empty((len(points), len(forest)))
     rows = np.arange(len(points))
-    for tree in forest:
+    for t, tree in enumerate(forest):
         at = np.zeros(len(points), dtype=np.int64)
         while True:
             f = tree["feature"][at]
@@ -195,11 +196,45 @@ def anomaly(points: np.ndarray, forest: list[dict[str, np.ndarray]], sample: int
                 break
             go = points[rows, np.maximum(f, 0)] <= tree["value"][at]
             at = np.where(f < 0, at, np.where(go, tree["left"][at], tree["right"][at]))
-        total += tree["value"][at]
-    return np.exp2(-total / len(forest) / _usual_path(sample))
+        out[:, t] = tree["value"][at]
+    return out / _usual_path(sample)
+
+
+def weigh(lengths: np.ndarray, good: np.ndarray, rounds: int = 500, ridge: float = 1e-4) -> np.ndarray:
+    """Weight of each tree (none negative, sum 1) from the path lengths of labelled points.
+
+    Logistic regression of bad on short paths, both labels with equal weight in
+    all, by accelerated projected gradients. Equal weights without both labels
+    or if no tree's paths are shorter for bad points.
+    """
+    equal = np.full(lengths.shape[1], 1.0 / max(lengths.shape[1], 1))
+    if not good.any() or good.all() or not len(equal):
+        return equal
+    side = np.where(good, -1.0, 1.0)
+    share = np.where(good, 0.5 / good.sum(), 0.5 / (~good).sum())
+    short = lengths.mean(axis=0) - lengths
+    step = 1.0 / (np.linalg.eigvalsh(short.T @ (short * share[:, None]))[-1] / 4 + ridge)
+    weight = ahead = np.ones(len(equal))
+    shift, turn = 0.0, 1.0
+    for _ in range(rounds):
+        pull = side * share / (1 + np.exp(np.clip(side * (short @ ahead + shift), -30, 30)))
+        new = np.maximum(0.0, ahead + step * (short.T @ pull - ridge * ahead))
+        shift += 2 * pull.sum()
+        turn, last = (1 + np.sqrt(1 + 4 * turn * turn)) / 2, turn
+        ahead = np.maximum(0.0, new + (last - 1) / turn * (new - weight))
+        weight = new
+    return weight / weight.sum() if weight.sum() > 0 else equal
+
+
+def anomaly(points: np.ndarray, forest: list[dict[str, np.ndarray]], weight: np.ndarray | None = None,
+            sample: int = SAMPLE) -> np.ndarray:
+    """Isolation score in (0, 1); 0.5 is usual, larger is more anomalous. ``weight``: of each tree (None: equal)."""
+    if not forest:
+        return np.full(len(points), 0.5)
+    return np.exp2(-np.average(paths(points, forest, sample), axis=1, weights=weight))
 
 
-def _scored(forest):
+def _scored(forest, weight):
     names = [*COUNTS, *FEATURES]
 
     def run(batches):
@@ -207,7 +242,7 @@ def _scored(forest):
             if not batch.num_rows:
                 continue
             points = np.column_stack([batch.column(1 + names.index(f)).to_numpy() for f in FEATURES])
-            score = pa.array(anomaly(points, forest), pa.float64())
+            score = pa.array(anomaly(points, forest, weight), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: 1 + len(COUNTS)], score], names=["doc_id", *COUNTS, "anomaly"])
 
     return run
@@ -239,8 +274,8 @@ def judge(docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS) -> Dat
     """(doc_id, the five counts, base_failed, kept, anomaly) for every row of ``docs``.
 
     ``base_failed``: fewer than 20 words, or over 30 % of the words in
-    repeated 8-word windows. Other rows are kept while their anomaly score is
-    under the calibrated limit. ``labels``: doc_id, quality (1 good, 0 bad;
+    repeated 8-word windows. Other rows are kept while their anomaly score (in
+    steps of 1 / ``BINS``) is under the calibrated limit. ``labels``: doc_id, quality (1 good, 0 bad;
     other values and nulls are ignored, repeated rows count by their lowest).
 
     Null and empty texts have zero counts and fail. A null doc_id is judged
@@ -250,20 +285,28 @@ def judge(docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS) -> Dat
     """
     found = written(statistics(docs), "rules")
     usable = found.filter((F.col("n_words") >= 20) & (100 * F.col("n_repeat_words") <= 30 * F.col("n_words")))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(1_000_000))
     total = usable.count()
     share = min(1.0, TREES * SAMPLE / max(total, 1))
-    drawn = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(1_000_000)) < int(1_000_000 * share))
+    drawn = usable.filter(draw < int(1_000_000 * share))
     points = np.asarray(sorted(tuple(r) for r in drawn.select(*FEATURES).collect()), dtype=float)
     forest = grow(points.reshape(-1, len(FEATURES)))
-    scored = written(found.mapInArrow(_scored(forest), ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], "anomaly double"])),
+    verdicts = written(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+                       .filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality")), "verdicts")
+    judged = usable.join(verdicts, "doc_id")
+    sizes = {r["quality"]: r["n"] for r in judged.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    part = [min(1.0, TREES * SAMPLE / 2 / max(sizes.get(q, 0), 1)) for q in (0, 1)]
+    shown = judged.filter(draw < F.when(F.col("quality") == 1, int(1_000_000 * part[1])).otherwise(int(1_000_000 * part[0])))
+    known = np.asarray(sorted(tuple(r) for r in shown.select("quality", *FEATURES).collect()), dtype=float).reshape(-1, 1 + len(FEATURES))
+    weight = weigh(paths(known[:, 1:], forest), known[:, 0] == 1)
+    scored = written(found.mapInArrow(_scored(forest, weight), ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], "anomaly double"])),
                      "scores")
-    verdicts = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-                .filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality")))
+    level = F.floor(F.col("anomaly") * BINS)
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    bins = (scored.filter(~base).join(verdicts, "doc_id").groupBy(F.floor(F.col("anomaly") * 2000).alias("bin"))
+    bins = (scored.filter(~base).join(verdicts, "doc_id").groupBy(level.alias("bin"))
             .agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")).collect())
-    limit = calibrate([(r["bin"] / 2000, r["good"], r["bad"]) for r in bins], max_loss)
-    usual = F.col("anomaly") < limit if limit is not None else F.lit(True)
+    limit = calibrate([(r["bin"] / BINS, r["good"], r["bad"]) for r in bins], max_loss)
+    usual = level / BINS < limit if limit is not None else F.lit(True)
     return scored.select("doc_id", *COUNTS, base.alias("base_failed"), (~base & usual).alias("kept"), "anomaly")
 
 

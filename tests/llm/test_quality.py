@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from gamelake.llm import quality
 
@@ -65,6 +66,24 @@ def test_edge_rows(spark):
     assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [5]
 
 
+def test_bad_inside_and_outside_usual_ranges_differ_from_good(spark):
+    """Bad documents whose rates are all common ones (longer words, some digits) are rejected if the labels say so,
+    and rates beyond any limit stay apart."""
+    rng = np.random.default_rng(5)
+
+    def text(size, marks):
+        words = ["".join(rng.choice(list("abcdefgh"), max(3, int(rng.normal(size, 1))))) for _ in range(60)]
+        return " ".join(words) + marks
+
+    rows = [(i, text(8.5, " 12") if i % 10 == 0 else text(5, "")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(300)], "doc_id long, quality int")
+    out = {r["doc_id"]: r["kept"] for r in quality.judge(docs, labels).collect()}
+    assert np.mean([out[i] for i in range(600) if i % 10]) > 0.98 and np.mean([out[i] for i in range(300, 600, 10)]) < 0.1
+    [block] = list(quality.blocks.text_blocks(pa.array([" ".join(["x" * 11] * 20), " ".join(["x" * 500] * 20)])))
+    assert np.diff(quality.block_statistics(block)["mean_word"])[0] > 1
+
+
 def test_calibration_limits():
     assert quality.calibrate([]) is None and quality.calibrate([(0.5, 3, 0)]) is None
     assert quality.calibrate([(0.4, 100, 0), (0.6, 0, 10)]) == 0.5
