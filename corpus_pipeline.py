@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and near-repeated lines go, and n_chars follows; so do documents
-    all of whose lines stand elsewhere. Texts that held no word stay as they are."""
-    done = line_dedup.dedup_lines(docs)
+    all of whose lines stand elsewhere, equal or within two edits. Texts that held no word stay as they are."""
+    done = line_dedup.dedup_lines(docs, direct=True)
     emptied = (F.col("n_removed") > 0) & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     return (done.filter(~emptied).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
             .select(*docs.columns))

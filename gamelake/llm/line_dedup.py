@@ -7,7 +7,8 @@ gets one key per (length of the shorter line, segment number, substring); lines
 that share a key are candidates (``graph.linked_components``), filtered by
 letter counts and confirmed by a banded bit-parallel edit distance.
 Equal lines are one class from the start. Of each component of linked lines
-the first line of the document with the smallest doc_id stays.
+the first line of the document with the smallest doc_id stays; with ``direct``,
+so does every line that is near no earlier line that stays.
 """
 
 from __future__ import annotations
@@ -109,11 +110,39 @@ def within_edits(a: Column, b: Column, max_edits: int = MAX_EDITS) -> Column:
     return (n_one - n_two <= max_edits) & (walked <= max_edits)
 
 
-def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def _near_kept(linked: DataFrame, members: DataFrame, texts: DataFrame, check, alike) -> DataFrame:
+    """(id, head): the line that stays for each linked line: itself or a near, earlier one.
+
+    ``linked`` (id, component, place): lines are taken in the order of place; one
+    near no line that stays, stays. A component's first line stays; what is not
+    near it is settled in rounds: a line that is the first left over in all of its
+    buckets stays, as near lines share a bucket, and its near lines go. A round
+    tests one line a bucket against the others.
+    """
+    texts = texts.withColumnRenamed("h", "id")
+    heads = (linked.groupBy("component").agg(F.min("place").alias("first")).join(texts, F.col("first.id") == F.col("id"))
+             .select("component", F.col("first.id").alias("head"), F.col("line").alias("head_line"), F.col("counts").alias("head_counts")))
+    near = (F.col("id") == F.col("head")) | alike("line", "head_line", "counts", "head_counts")
+    settled = written(linked.join(texts, "id").join(heads, "component").filter(near).select("id", "head"), "kept-lines")
+    left = written(members.join(linked.join(settled, "id", "left_anti"), "id").select("key", "component", "id", "place"), "lines-left")
+    while not left.isEmpty():
+        low = left.groupBy("key", "component").agg(F.min("place").alias("low"))
+        marked = written(left.join(low, ["key", "component"]), "lines-marked")
+        stay = written(marked.groupBy("id").agg(F.min(F.col("place") == F.col("low")).alias("stays")).filter("stays").select("id"), "lines-staying")
+        pairs = (marked.filter("place <> low").select(F.col("low.id").alias("a"), F.col("id").alias("b"))
+                 .join(stay.withColumnRenamed("id", "a"), "a", "left_semi").distinct())
+        gone = check(pairs).groupBy("b").agg(F.min("a").alias("head"))
+        new = written(gone.select(F.col("b").alias("id"), "head").unionByName(stay.select("id", F.col("id").alias("head"))), "kept-lines")
+        settled = settled.unionByName(new)
+        left = written(left.join(new, "id", "left_anti"), "lines-left")
+    return settled
+
+
+def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, direct: bool = False) -> DataFrame:
     """(h, h2, n_docs, n_links, doc_id, keep_h, keep_h2) per class of equal lines.
 
     doc_id and (keep_h, keep_h2): the document and the line that stay for the
-    class's component.
+    class's component or, with ``direct``, for the class by ``_near_kept``.
     """
     lines = _lines(docs)
     first = lines.filter("doc_id is not null").groupBy("h", "h2").agg(
@@ -141,14 +170,25 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
     def check(pairs: DataFrame) -> DataFrame:
         one = texts.select(F.col("h").alias("a"), F.col("line").alias("line_a"), F.col("counts").alias("counts_a"))
         two = texts.select(F.col("h").alias("b"), F.col("line").alias("line_b"), F.col("counts").alias("counts_b"))
-        alike = pairs.join(one, "a").join(two, "b").filter(near_counts("counts_a", "counts_b"))
-        return alike.filter(within_edits(F.col("line_a"), F.col("line_b"), max_edits)).select("a", "b")
+        near = pairs.join(one, "a").join(two, "b").filter(near_counts("counts_a", "counts_b"))
+        return near.filter(within_edits(F.col("line_a"), F.col("line_b"), max_edits)).select("a", "b")
+
+    def alike(line_a: str, line_b: str, counts_a: str, counts_b: str) -> Column:
+        return F.when(near_counts(counts_a, counts_b), within_edits(F.col(line_a), F.col(line_b), max_edits)).otherwise(False)
 
     comps, links = linked_components(members, check, (counted, near_counts))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     tied = (classes.join(comps, F.col("h") == F.col("id"), "left").drop("id").join(degree, F.col("h") == F.col("id"), "left").drop("id")
             .withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
             .withColumn("component", F.when(F.col("n_links") > 0, F.coalesce("component", "h"))))
+    if direct:
+        tied = written(tied, "tied-lines")
+        linked = tied.filter("n_links > 0").groupBy("h").agg(
+            F.min("component").alias("component"), F.min(F.struct("doc_id", "pos", F.col("h").alias("id"))).alias("place"))
+        kept = _near_kept(linked.withColumnRenamed("h", "id"), members, texts, check, alike).withColumnRenamed("head", "keep")
+        # The line that stays names its component anew.
+        tied = (tied.drop("component").join(kept, F.col("h") == F.col("id"), "left").drop("id")
+                .withColumnRenamed("keep", "component"))
     heads = (tied.filter("n_links > 0").groupBy("component")
              .agg(F.min(F.struct("doc_id", "pos", "h", "h2")).alias("head")))
     return (tied.join(heads, "component", "left")
@@ -156,20 +196,23 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
                     F.coalesce("head.h", "h").alias("keep_h"), F.coalesce("head.h2", "h2").alias("keep_h2")))
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+                direct: bool = False) -> DataFrame:
     """``docs`` with duplicate lines taken out of text; adds n_lines, n_removed.
 
     Lines are split at \\n; a line with no word is never a duplicate. Of
     equal lines and of lines (at least ``min_chars`` code points) that chains
     of at most ``max_edits`` edits connect, the first of the document with the
     smallest doc_id stays, everywhere else they go, inside a document too.
+    ``direct``: chains do not count; in the order of doc_id and place a line goes
+    only if it is within ``max_edits`` edits of an earlier line that stays.
     Null texts stay null with 0 lines; a text all of whose lines go is empty.
     A null doc_id takes no part and keeps its text. Rows that repeat a doc_id
     keep or lose the same lines. n_chars, where present, is left as it was.
     An empty table gives no rows. Columns named n_lines or n_removed are
     replaced; other columns pass through.
     """
-    classes = written(line_classes(docs, max_edits, min_chars), "line-decisions")
+    classes = written(line_classes(docs, max_edits, min_chars, direct), "line-decisions")
     doubtful = classes.filter((F.col("n_docs") > 1) | (F.col("n_links") > 0))
     lines = _lines(docs).filter("doc_id is not null").select("doc_id", "h", "h2")
     lost = (lines.filter(may_hold(sieve(doubtful, "h"), F.col("h")))

@@ -49,7 +49,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from gamelake.llm import line_dedup
 
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), direct=True).select(
         "doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
 
 

@@ -105,6 +105,29 @@ def test_matches_brute_force(spark, seed):
     assert got(line_dedup.dedup_lines(df)) == brute(rows)
 
 
+def greedy(rows, edits=2, least=20):
+    """doc_id -> text, where a line goes only if an earlier line that stays is equal or near."""
+    stays, out = [], {}
+    for d, t in sorted(rows):
+        kept = []
+        for line in t.split("\n"):
+            if WORD.search(line):
+                if line in stays or len(line) >= least and any(
+                        len(x) >= least and abs(len(x) - len(line)) <= edits and within(x, line, edits) for x in stays):
+                    continue
+                stays.append(line)
+            kept.append(line)
+        out[d] = "\n".join(kept)
+    return out
+
+
+def test_direct_keeps_lines_far_from_the_kept_one(spark):
+    chain = [(i, "item of the list number " + "7" * i + "0" * (12 - i)) for i in range(13)]
+    for rows in (chain, near_rows(1), near_rows(2)):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert got(line_dedup.dedup_lines(df, direct=True)) == greedy(rows)
+
+
 def test_distance_filter(spark):
     rnd = random.Random(9)
     pairs = []
