@@ -43,7 +43,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

@@ -43,13 +43,19 @@ class WordIds:
     with what stands beside it, so each distinct word is encoded once by the
     tokenizer and its ids are put together per text. Texts with white space
     beyond ASCII are encoded whole.
+
+    ``added``: the tokenizer's added tokens (<|endoftext|>) are found in texts,
+    as it does by default, and texts that hold one are encoded whole; otherwise
+    they are read as plain text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = [c.encode("utf-8") for c in contents if c]
         self._clear()
 
     def _clear(self) -> None:
@@ -113,41 +119,43 @@ class WordIds:
         return ids, total[np.searchsorted(s, offs)]
 
 
-_ENCODERS: dict[str, WordIds] = {}
+_ENCODERS: dict[tuple[str, bool], WordIds] = {}
 
 
-def _encoder(path: str) -> WordIds:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
+def _encoder(path: str, added: bool) -> WordIds:
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = WordIds(path, added)
+    return _ENCODERS[path, added]
 
 
-def token_rows(column: pa.Array, path: str):
+def token_rows(column: pa.Array, path: str, added: bool = False):
     """(row, ids with the end id) for each text of a string column, in order."""
     import re
 
     wide = re.compile(_WIDE_SPACE)
-    encoder = _encoder(path)
+    encoder = _encoder(path, added)
     end = np.asarray([END_ID], dtype="<u4")
     for block in blocks.text_blocks(column, max_bytes=4 << 20):
         ids, offs = encoder.block(block)
         plain = block.buf.size == 0 or not ((block.buf == 0xC2) | (block.buf == 0xE1) | (block.buf == 0xE2) | (block.buf == 0xE3)).any()
+        raw = block.buf.tobytes() if encoder.added else b""
+        marks = [c for c in encoder.added if c in raw]
         for d in range(len(block)):
             own = ids[offs[d]: offs[d + 1]]
-            if not plain:
-                text = block.buf[block.offs[d]: block.offs[d + 1]].tobytes().decode("utf-8")
-                if wide.search(text):
-                    own = np.asarray(encoder._encode([text])[0], dtype=np.uint32)
+            if marks or not plain:
+                text = block.buf[block.offs[d]: block.offs[d + 1]].tobytes()
+                if any(c in text for c in marks) or wide.search(text.decode("utf-8")):
+                    own = np.asarray(encoder._encode([text.decode("utf-8")])[0], dtype=np.uint32)
             yield block.lo + d, np.concatenate([own.astype("<u4", copy=False), end])
 
 
-def _pieces(path: str, groups: int):
+def _pieces(path: str, groups: int, added: bool):
     def run(batches):
         task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = batch.column(0)
             out: list[list] = [[] for _ in _PIECES]
-            for i, tokens in token_rows(batch.column(1), path):
+            for i, tokens in token_rows(batch.column(1), path, added):
                 doc = ids[i].as_py()
                 draw = np.asarray([(task << 32) + row], dtype=np.uint64)
                 group = int(blocks.mix64(blocks.mix64(draw) + np.uint64((doc or 0) & 0xFFFFFFFFFFFFFFFF))[0] % np.uint64(groups))
@@ -196,10 +204,12 @@ def _pack_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return rows.drop(columns="group")
 
 
-def pack(docs: DataFrame, vocabulary: str, group_docs: int = GROUP_DOCS) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, group_docs: int = GROUP_DOCS, added: bool = False) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
-    ``vocabulary``: path of the tokenizer's file on every machine. Each id of
+    ``vocabulary``: path of the tokenizer's file on every machine; ``added``:
+    whether its added tokens are found in texts, as by default in the tokenizer,
+    or are plain text there. Each id of
     each row's text lies in exactly one piece; ids_crc32 is over its ids as
     little-endian unsigned 32-bit numbers. Pieces of a sequence fill it from
     offset 0 without gaps, ``LENGTH`` at most. Null and empty texts are the
@@ -213,6 +223,6 @@ def pack(docs: DataFrame, vocabulary: str, group_docs: int = GROUP_DOCS) -> Data
     small_batches(spark, 500)
     groups = max(1, -(-docs.count() // group_docs))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = text.mapInArrow(_pieces(vocabulary, groups), _DDL)
+    cut = text.mapInArrow(_pieces(vocabulary, groups, added), _DDL)
     return cut.groupBy("group").applyInPandas(
         _pack_group, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -125,7 +125,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from gamelake.llm import packing
 
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

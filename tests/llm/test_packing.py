@@ -74,6 +74,17 @@ def test_full_cache_starts_anew(monkeypatch, tokenizer):
         assert words.block(block)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_as_in_a_default_tokenizer():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    default = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "no token here", "a<|endoftext|>b<|endoftext|>", "half <|endof", "text|> half", "x\u3000y <|endoftext|>", ""]
+    got = [ids.tolist() for _, ids in packing.token_rows(pa.array(texts), PATH, added=True)]
+    assert got == [default.encode(t, add_special_tokens=False).ids + [packing.END_ID] for t in texts]
+    assert 50256 in got[0] and 50256 not in list(packing.token_rows(pa.array(texts), PATH))[0][1]
+
+
 def test_first_fit_decreasing_equals_plain_first_fit():
     rng = np.random.default_rng(3)
     for n in (1, 2, 3, 50, 500):
