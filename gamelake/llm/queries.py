@@ -128,6 +128,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import lexical
+
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import html_text
+
+    return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gamelake.llm import centroids
+
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -146,6 +164,9 @@ QUERIES = {
     "op8_temporal_url_lists": op8_temporal_url_lists,
     "op9_temperature_mix": op9_temperature_mix,
     "op10_packing": op10_packing,
+    "op11_reversed_search": op11_reversed_search,
+    "op12_html_text": op12_html_text,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 OP8_SQL = r"""
@@ -205,4 +226,78 @@ select p.page_id, p.host, p.fetched, coalesce(a.n_active, 0) as n_active, coales
 from page p left join per_page a using (page_id) left join best b using (page_id)
 """
 
-ORACLE: dict[str, str] = {"op8_temporal_url_lists": OP8_SQL}
+OP11_SQL = r"""
+with found as (
+  select d.doc_key, d.doc_id, unnest(regexp_extract_all(
+    translate(d.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select row_number() over () as doc_key, doc_id, text from documents) d
+),
+tf as (select doc_key, any_value(doc_id) as doc_id, term, count(*) as tf from found group by doc_key, term),
+doc as (select doc_key, sum(tf)::bigint as n from tf group by doc_key),
+whole as (select count(*) as docs, sum(n)::bigint as terms from doc),
+item_term as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+),
+weight as (
+  select t.term, floor(1000 * ln((2 * docs + 2) / (2 * t.df + 1)))::bigint as w
+  from (select term, count(*) as df from tf group by term) t cross join whole
+),
+scored as (
+  select i.item_id, tf.doc_key, any_value(tf.doc_id) as doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // terms)))))::bigint as score
+  from item_term i join tf using (term) join weight using (term) join doc on doc.doc_key = tf.doc_key cross join whole
+  group by i.item_id, tf.doc_key
+),
+ranked as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank
+  from scored where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+def _round_sql(i: int) -> str:
+    """CTEs of round ``i``: members (v row, cluster) by centroids ``c<i>``, then centroids ``c<i + 1>``."""
+    return f"""
+d{i} as materialized (
+  select v.r, c.cluster, sum((v.x - c.x) * (v.x - c.x))::bigint as distance
+  from v join c{i} c on c.i = v.i group by v.r, c.cluster
+),
+a{i} as materialized (
+  select r, arg_min(cluster, (distance, cluster)) as cluster, min(distance) as distance from d{i} group by r
+),
+m{i} as (
+  select a.cluster, v.i, floor_div(sum(v.x)::bigint, count(*)) as x from a{i} a join v on v.r = a.r group by a.cluster, v.i
+),
+c{i + 1} as materialized (
+  select c.cluster, c.i, coalesce(m.x, c.x) as x from c{i} c left join m{i} m on m.cluster = c.cluster and m.i = c.i
+)""".replace("floor_div(sum(v.x)::bigint, count(*))", "((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*))::bigint")
+
+
+OP13_SQL = f"""
+with part as (
+  select row_number() over () as r, vec_id, embedding from embeddings
+),
+long as (
+  select r, vec_id, generate_subscripts(embedding, 1) as i, unnest(embedding)::double as x from part
+),
+kept as (
+  select r from long group by r
+  having count(*) = 64 and bool_and(coalesce(x > -2097152.0 and x < 2097152.0, false))
+),
+v as materialized (select r, vec_id, i, floor(64 * x)::bigint as x from long where r in (select r from kept)),
+seeds as (
+  select r, row_number() over (order by sha256('1:' || vec_id::varchar) nulls last, xs) - 1 as cluster
+  from (select r, any_value(vec_id) as vec_id, list(x order by i) as xs from v group by r)
+),
+c0 as materialized (select s.cluster::int as cluster, v.i, v.x from seeds s join v on v.r = s.r where s.cluster < 16),
+{','.join(_round_sql(i) for i in range(4))},
+sums as (select cluster, sum(distance)::bigint as cluster_inertia from a3 group by cluster),
+hashes as (select cluster, sha256(string_agg(x::varchar, ',' order by i)) as centroid_sha256 from c3 group by cluster)
+select v.vec_id, a.cluster, a.distance, s.cluster_inertia, (select sum(distance)::bigint from a3) as inertia, h.centroid_sha256
+from a3 a join (select distinct r, vec_id from v) v on v.r = a.r join sums s on s.cluster = a.cluster join hashes h on h.cluster = a.cluster
+"""
+
+ORACLE: dict[str, str] = {"op8_temporal_url_lists": OP8_SQL, "op11_reversed_search": OP11_SQL, "op13_centroid_clusters": OP13_SQL}
