@@ -29,7 +29,7 @@ def q_month_range(spark, sf):
 
 
 def _available(spark, sf):
-    return raw.available_months(q_bronze.feed(spark, sf).select("raw_key"))
+    return raw.months_available(spark, fixtures.landing_zone(spark, sf))
 
 
 @register("months_of_years", oracle(f"""

@@ -84,19 +84,67 @@ def publish(spark: SparkSession, path: str, write) -> str:
     return path
 
 
+# --- file index of the landing zone -----------------------------------------------
+def _subdirs(fs, path, key: str) -> dict[str, object]:
+    """Value -> directory of the ``<key>=<value>`` children."""
+    found = {}
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{key}="):
+            found[name.split("=", 1)[1]] = st.getPath()
+    return found
+
+
+def month_dirs(spark: SparkSession, root: str) -> dict[str, str]:
+    """Month key -> directory of the months that hold a file, from the two
+    directory levels alone: a listing of the years, one of each year, and the
+    first file of each month. No document is listed further or opened."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return {}
+    out = {}
+    for year, at_year in _subdirs(fs, p, "year").items():
+        for month, at in _subdirs(fs, at_year, "month").items():
+            if fs.listFiles(at, True).hasNext():
+                out[f"{year}-{month}"] = at.toString()
+    return dict(sorted(out.items()))
+
+
+#: Rows of ``read_feed``: the document with the file it came from.
+FEED_ROWS = SC.struct([*[(f.name, f.dataType) for f in SC.FEED_DOC.fields], ("feed", SC.S), ("raw_key", SC.S)])
+FILE_INDEX = "year string, month string, feed string, path string, length long, modified timestamp"
+
+
+def file_index(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
+    """One row per feed document (year, month, feed, path, length, modified),
+    listed by Spark's parallel file listing. Only the selected months'
+    directories are listed, and no document is read."""
+    configure(spark)
+    dirs = month_dirs(spark, root)
+    paths = [dirs[m] for m in (sorted(set(months)) if months else dirs) if m in dirs]
+    if not paths:
+        return spark.createDataFrame([], FILE_INDEX)
+    files = spark.read.format("binaryFile").option("basePath", root).load(paths)
+    return files.select("year", "month", "feed", "path", "length", F.col("modificationTime").alias("modified"))
+
+
 # --- A1 feed documents ----------------------------------------------------------
 def read_feed(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
     """All feed documents under ``root`` (``.../player_games``); ``raw_key`` is
     the file path. One document per file, so each file is one JSON value; a
     file that is none (cut short, say) fails the job instead of passing as an
-    empty document."""
+    empty document. With a month list only those months' directories are
+    listed; a month without documents gives no rows."""
     configure(spark)
-    df = (spark.read.schema(SC.FEED_DOC).option("multiLine", True).option("mode", "FAILFAST")
-          .option("recursiveFileLookup", False).json(root))
-    df = df.withColumn("raw_key", F.col("_metadata.file_path"))
+    paths = [root]
     if months:
-        df = df.filter(X.month_key("year", "month").isin(list(months)))
-    return df
+        dirs = month_dirs(spark, root)
+        paths = [dirs[m] for m in sorted(set(months)) if m in dirs]
+        if not paths:
+            return spark.createDataFrame([], FEED_ROWS)
+    df = (spark.read.schema(SC.FEED_DOC).option("multiLine", True).option("mode", "FAILFAST")
+          .option("basePath", root).option("recursiveFileLookup", False).json(paths))
+    return df.withColumn("raw_key", F.col("_metadata.file_path"))
 
 
 def write_feed(docs: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -150,6 +198,11 @@ def latest_archive_list(lists: DataFrame, key: str = "raw_key", user: str = "use
 
 
 # --- A13 ------------------------------------------------------------------------
+def months_available(spark: SparkSession, root: str) -> DataFrame:
+    """Months that hold raw documents, by their directories (no document is opened)."""
+    return spark.createDataFrame([(m,) for m in month_dirs(spark, root)], "month_key string")
+
+
 def available_months(feed_paths: DataFrame, path: str = "raw_key") -> DataFrame:
     """Distinct year=/month= found in file paths, as sorted month keys."""
     m = F.regexp_extract(X.col(path), r"year=(\d{4})/month=(\d{2})/", 0)

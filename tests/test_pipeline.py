@@ -27,7 +27,7 @@ def test_rerun_is_idempotent_and_replaces_only_selected_months(spark, sf):
     assert rep.counts["unique_games"] > 0
     again = {t: snapshot(spark, root, t) for t in first}
     assert again == first
-    summary = spark.read.parquet(lake.path(root, lake.GOLD_SUMMARY))
+    summary = lake.read_full(spark, root, lake.GOLD_SUMMARY)
     monthly = lake.read(spark, root, "gold/head_to_head_monthly")
     assert summary.agg(F.sum("games_played")).first()[0] == monthly.agg(F.sum("games_played")).first()[0]
 
