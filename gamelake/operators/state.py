@@ -72,6 +72,21 @@ def normalize_roster(snapshots: DataFrame) -> DataFrame:
         "player_count", F.size("players").cast("int"))
 
 
+def snapshot_key(title: str | Column, ds: str | Column) -> Column:
+    return F.concat(F.lit(f"{RAW_PREFIX}/titled_players/"), X.col(title), F.lit("/"), X.col(ds), F.lit(".json"))
+
+
+def upsert_titles(titles: DataFrame, snapshots: DataFrame, ds: str, saved_at: str) -> DataFrame:
+    """Title records after the day's roster documents: a title with a document
+    gets its date and key; every other record stays."""
+    today = snapshots.filter(F.col("title").isNotNull()).select("title").distinct().withColumn("_today", F.lit(True))
+    j = titles.join(today, "title", "full_outer")
+    new = {"latest_snapshot_date": F.lit(ds), "last_snapshot_key": snapshot_key("title", F.lit(ds)),
+           "last_updated_at": F.to_timestamp(F.lit(saved_at))}
+    return j.select(*[F.when(F.col("_today"), new[n]).otherwise(F.col(n)).cast(t).alias(n) if n in new else F.col(n)
+                      for n, t in SC.TITLE_STATE])
+
+
 def roster_members(snapshots: DataFrame) -> DataFrame:
     """(title, username) rows of normalized roster documents."""
     return snapshots.select("title", F.explode("players").alias("username"))
@@ -192,10 +207,13 @@ def apply_refresh(state: DataFrame, index: DataFrame, results: DataFrame, curren
     }
     new_state = s.select(*[F.when(got, upd[n]).otherwise(F.col(n)).cast(t).alias(n) if n in upd else F.col(n)
                            for n, t in SC.PLAYER_STATE])
-    # Index rows change only for changed players; new players get a row.
-    ch = s.filter(changed).select(
-        "username", F.col("r_archive_months").alias("archive_months"), pending.alias("pending_backfill_months"),
-        archive_snapshot_key("username", ds).alias("latest_archive_snapshot_key")).dropDuplicates(["username"])
+    # Index rows change only for changed players; new players get a row. Where
+    # a player's titles were answered apart, the last title in name order
+    # stands, as if the titles were worked through one after the other.
+    lists = F.struct(F.col("r_archive_months").alias("archive_months"), pending.alias("pending_backfill_months"))
+    ch = (s.filter(changed).groupBy("username").agg(F.max_by(lists, F.col("title")).alias("_l"))
+          .select("username", "_l.archive_months", "_l.pending_backfill_months",
+                  archive_snapshot_key("username", ds).alias("latest_archive_snapshot_key")))
     new_index = (index.join(ch.withColumnRenamed("archive_months", "n_archive").withColumnRenamed(
         "pending_backfill_months", "n_pending").withColumnRenamed("latest_archive_snapshot_key", "n_key"),
         "username", "full_outer")

@@ -72,6 +72,6 @@ def register(name: str, oracle_sql: str | None = None):
 def load_all() -> dict[str, Entry]:
     # Importing the modules fills the registry.
     from gamelake.plans import (  # noqa: F401
-        q_bronze, q_explore, q_layout, q_months, q_silver_gold, q_state,
+        q_bronze, q_cycle, q_explore, q_layout, q_months, q_silver_gold, q_state,
     )
     return REGISTRY

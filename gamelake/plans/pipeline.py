@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gamelake import schemas as SC
 from gamelake.functions import exprs as X
 from gamelake.operators import bronze, gold, silver
-from gamelake.sources import lake, raw, snapshots
+from gamelake.sources import lake, raw, snapshots, state_store
 
 
 def month_counts(games: DataFrame, facts: DataFrame) -> DataFrame:
@@ -148,9 +148,14 @@ def build_pair_marts(spark: SparkSession, lake_root: str, monthly: DataFrame, mo
 
 def run(spark: SparkSession, raw_root: str, lake_root: str, months: Sequence[str] | None = None,
         roster_members: DataFrame | None = None, roster: DataFrame | None = None,
-        buckets: int = X.DEFAULT_BUCKETS) -> RunReport:
+        buckets: int = X.DEFAULT_BUCKETS, state_root: str | None = None) -> RunReport:
     """G4: bronze for the months, silver (and roster when given), gold, then
-    the all-time mart once."""
+    the all-time mart once.
+
+    Titles come from ``roster_members`` (title, username), or from the control
+    state saved under ``state_root``: all its players, removed ones too."""
+    if roster_members is None and state_root is not None:
+        roster_members = state_store.read(spark, state_root).players.select("title", "username")
     counts = build_bronze_months(spark, raw_root, lake_root, months, roster_members, buckets)
     build_silver(spark, lake_root, months, roster)
     build_gold(spark, lake_root, months)

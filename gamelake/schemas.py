@@ -74,6 +74,7 @@ PLAYER_STATE = [
     ("current_month_last_modified", S), ("current_month_game_key", S), ("current_month_game_count", I),
     ("last_game_sync_at", TS), ("backfill_pending", B), ("backfill_pending_count", I), ("player_index_key", S),
 ]
+TITLE_STATE = [("title", S), ("latest_snapshot_date", S), ("last_snapshot_key", S), ("last_updated_at", TS)]
 PLAYER_INDEX = [
     ("username", S), ("stored_months", SA), ("archive_months", SA), ("pending_backfill_months", SA),
     ("latest_archive_snapshot_key", S), ("updated_at", TS),

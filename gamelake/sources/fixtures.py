@@ -130,7 +130,65 @@ from (
 ) q
 """
 
+
+# --- inputs of the daily control cycle: three days -------------------------------
+def _title_of(n: str) -> str:
+    names = ("GM", "WGM", "IM", "WIM", "FM", "WFM", "NM", "WNM", "CM", "WCM")
+    return f"case {n} " + " ".join(f"when {i} then '{t}'" for i, t in enumerate(names)) + " end"
+
+
+# Players come and go; every 13th moves to another title on day 2, every 11th is on two rosters.
+FX_CYCLE_ROSTER = f"""
+with c as (
+  select c_custkey as k, c_nationkey % 10 as t, lower(replace(c_name, '#', '')) as username from {{customer}}
+),
+listed as (
+  select 1 as day, k, t, username from c where k % 7 <> 0
+  union all select 2 as day, k, case when k % 13 = 0 then (t + 1) % 10 else t end as t, username from c where k % 5 <> 0
+  union all select 3 as day, k, case when k % 13 = 0 then (t + 1) % 10 else t end as t, username from c where k % 7 <> 0
+)
+select day, {_title_of('t')} as title, username from listed
+union all
+select day, {_title_of('(t + 5) % 10')} as title, username from listed where k % 11 = 0
+"""
+
+# Archive lists grow by the day; on day 1 every 17th fetch fails (no row), and players without orders have empty lists (null url).
+FX_CYCLE_LISTS = """
+with m as (
+  select distinct o_custkey as k, cast(year(o_orderdate) as varchar(4)) as y, cast(month(o_orderdate) as varchar(2)) as m,
+    concat(cast(year(o_orderdate) as varchar(4)), '-', lpad(cast(month(o_orderdate) as varchar(2)), 2, '0')) as month_key
+  from {orders}
+),
+days as (select 1 as day, '1996-04' as last union all select 2 as day, '1996-05' as last union all select 3 as day, '1997-12' as last)
+select day, lower(replace(c_name, '#', '')) as username,
+  case when month_key <= last then concat('https://api.games.example/player/', lower(replace(c_name, '#', '')), '/games/', y, '/', m) end as archive_url
+from {customer} cross join days left join m on k = c_custkey
+where not (day = 1 and c_custkey % 17 = 0)
+"""
+
+# Answers for a player's month: 429, 500, 404, 304, an empty body, or games.
+FX_CYCLE_ANSWERS = """
+select lower(replace(c_name, '#', '')) as username,
+  concat(cast(year(o_orderdate) as varchar(4)), '-', lpad(cast(month(o_orderdate) as varchar(2)), 2, '0')) as month_key,
+  case (c_custkey + month(o_orderdate)) % 9 when 0 then 429 when 1 then 500 when 2 then 404 when 3 then 304 else 200 end as status_code,
+  substr(md5(concat(c_name, cast(month(o_orderdate) as varchar(2)))), 1, 12) as etag,
+  cast(case when (c_custkey + month(o_orderdate)) % 9 = 4 then null else count(*) end as int) as game_count
+from {orders} join {customer} on c_custkey = o_custkey
+group by c_custkey, c_name, year(o_orderdate), month(o_orderdate)
+"""
+
+FX_CYCLE_RAW = """
+select distinct lower(replace(c_name, '#', '')) as username,
+  concat(cast(year(o_orderdate) as varchar(4)), '-', lpad(cast(month(o_orderdate) as varchar(2)), 2, '0')) as month_key
+from {orders} join {customer} on c_custkey = o_custkey
+where (c_custkey + month(o_orderdate)) % 4 = 0
+"""
+
 VIEWS = {
+    "fx_cycle_roster": FX_CYCLE_ROSTER,
+    "fx_cycle_lists": FX_CYCLE_LISTS,
+    "fx_cycle_answers": FX_CYCLE_ANSWERS,
+    "fx_cycle_raw": FX_CYCLE_RAW,
     "fx_games": FX_GAMES,
     "fx_feed": FX_FEED,
     "fx_roster": FX_ROSTER,
