@@ -111,7 +111,8 @@ def month_dirs(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 #: Rows of ``read_feed``: the document with the file it came from.
-FEED_ROWS = SC.struct([*[(f.name, f.dataType) for f in SC.FEED_DOC.fields], ("feed", SC.S), ("raw_key", SC.S)])
+FEED_ROWS = SC.struct([*[(f.name, f.dataType) for f in SC.FEED_DOC.fields if f.name not in ("year", "month")],
+                       ("year", SC.S), ("month", SC.S), ("feed", SC.S), ("raw_key", SC.S)])
 FILE_INDEX = "year string, month string, feed string, path string, length long, modified timestamp"
 
 
@@ -134,7 +135,8 @@ def read_feed(spark: SparkSession, root: str, months: Sequence[str] | None = Non
     the file path. One document per file, so each file is one JSON value; a
     file that is none (cut short, say) fails the job instead of passing as an
     empty document. With a month list only those months' directories are
-    listed; a month without documents gives no rows."""
+    listed; a month without documents gives no rows. A document without a
+    ``game_count`` gets the length of its games."""
     configure(spark)
     paths = [root]
     if months:
@@ -144,7 +146,8 @@ def read_feed(spark: SparkSession, root: str, months: Sequence[str] | None = Non
             return spark.createDataFrame([], FEED_ROWS)
     df = (spark.read.schema(SC.FEED_DOC).option("multiLine", True).option("mode", "FAILFAST")
           .option("basePath", root).option("recursiveFileLookup", False).json(paths))
-    return df.withColumn("raw_key", F.col("_metadata.file_path"))
+    df = df.withColumn("raw_key", F.col("_metadata.file_path"))
+    return df.withColumn("game_count", F.coalesce("game_count", F.size("games")))
 
 
 def write_feed(docs: DataFrame, root: str, mode: str = "overwrite") -> None:
