@@ -8,8 +8,9 @@ reduced to a presence flag before the shuffle; only the flags survive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gamelake import schemas as SC
 from gamelake.functions import exprs as X
@@ -20,12 +21,35 @@ FIRST_FIELDS = ("uuid", "url", "end_time", "time_class", "time_control", "rated"
 
 
 # --- B1 / B2 ----------------------------------------------------------------
+def repeated_positions(games: str | Column) -> Column:
+    """Positions of the games of one document whose key an earlier game of it
+    has: one sort of the keys and one pass, inside the array."""
+    keyed = F.transform(X.col(games), lambda g, i: F.struct(game_key(g["uuid"], g["url"]).alias("key"), i.alias("pos")))
+    ranked = F.array_sort(F.filter(keyed, lambda x: x["key"].isNotNull()))
+    start = F.struct(F.lit("").alias("key"), F.array().cast("array<int>").alias("found"))
+
+    def step(acc: Column, x: Column) -> Column:
+        found = F.when(acc["key"] == x["key"], F.concat(acc["found"], F.array(x["pos"]))).otherwise(acc["found"])
+        return F.struct(F.coalesce(x["key"], F.lit("")).alias("key"), found.alias("found"))
+
+    return F.aggregate(ranked, start, step, lambda acc: acc["found"])
+
+
 def explode_feed(feed: DataFrame) -> DataFrame:
-    """One row per game occurrence: raw_key, year, month, source_username, pos, game.*"""
-    return feed.select(
-        "raw_key", "year", "month", F.col("username").alias("source_username"),
+    """One row per game occurrence: raw_key, year, month, source_username, pos, game.*, again.
+
+    ``again`` marks a game whose key stands earlier in the same document, so
+    that documents can be counted later without comparing them."""
+    docs = feed.select("raw_key", "year", "month", F.col("username").alias("source_username"), "games",
+                       repeated_positions("games").alias("repeats"))
+    occ = docs.select(
+        "raw_key", "year", "month", "source_username", "repeats",
         F.posexplode("games").alias("pos", "game"),
-    ).select("raw_key", "year", "month", "source_username", "pos", "game.*")
+    ).select("raw_key", "year", "month", "source_username", "pos", "game.*", F.array_contains("repeats", F.col("pos")).alias("again"))
+    # From here on ``accuracies`` is JSON text, in which a text value stays quoted.
+    if "accuracies" in occ.columns and isinstance(occ.schema["accuracies"].dataType, T.VariantType):
+        occ = occ.withColumn("accuracies", F.to_json("accuracies"))
+    return occ
 
 
 def game_key(uuid: str | Column = "uuid", url: str | Column = "url") -> Column:
@@ -52,30 +76,22 @@ def merge_games(occ: DataFrame) -> DataFrame:
     """First sighting wins, in (raw_key, pos) order; the fill fields take the
     first truthy sighting. Provenance: distinct files and source users.
 
-    Two aggregation levels, both combined map-side: per (game, file) the
-    file's first sighting and first truthy fills; then per game the earliest
-    file's values. Counting files is then a plain count (no distinct-expand
-    that would copy every row with its payload).
+    One aggregation, combined map-side, so the payload crosses one exchange
+    and a game seen in thousands of feeds leaves each map task as one row.
+    Files are counted by their first sighting of the game (``again`` of
+    ``explode_feed``): a plain sum, no distinct rows.
     """
     k = keyed_occurrences(occ)
+    if "again" not in k.columns:
+        k = k.withColumn("again", F.row_number().over(Window.partitionBy("year", "month", "game_key", "raw_key").orderBy("pos")) > 1)
     fill = ("accuracies", "eco", "fen", "initial_setup")
-    per_file = k.groupBy("year", "month", "game_key", "raw_key").agg(
-        F.min("pos").alias("pos"),
-        F.min_by(F.struct(*FIRST_FIELDS, *[F.col(f).alias(f"first_{f}") for f in fill]), F.col("pos")).alias("g"),
-        *[F.min_by(F.struct(F.col("pos").alias("p"), F.col(f).alias("v")), F.when(_truthy(f), F.col("pos"))).alias(f"fill_{f}")
-          for f in fill],
-        *[F.max(X.truthy_text(f)).alias(f"has_{f}") for f in ("pgn", "tcn")],
-        F.max(F.nullif(F.col("source_username"), F.lit(""))).alias("user"),
-    )
     order = F.struct("raw_key", "pos")
-    merged = per_file.groupBy("year", "month", "game_key").agg(
-        F.min_by("g", order).alias("g"),
-        *[F.min_by(F.col(f"fill_{f}.v"), F.when(F.col(f"fill_{f}").isNotNull(),
-                                                F.struct(F.col("raw_key"), F.col(f"fill_{f}.p")))).alias(f"fill_{f}")
-          for f in fill],
-        *[F.max(f"has_{f}").alias(f"has_{f}") for f in ("pgn", "tcn")],
-        F.count(F.lit(1)).alias("source_key_count"),
-        F.array_sort(F.collect_set("user")).alias("source_player_usernames"),
+    merged = k.groupBy("year", "month", "game_key").agg(
+        F.min_by(F.struct(*FIRST_FIELDS, *[F.col(f).alias(f"first_{f}") for f in fill]), order).alias("g"),
+        *[F.min_by(f, F.when(_truthy(f), order)).alias(f"fill_{f}") for f in fill],
+        *[F.max(X.truthy_text(f)).alias(f"has_{f}") for f in ("pgn", "tcn")],
+        F.sum(F.when(F.col("again"), 0).otherwise(1)).alias("source_key_count"),
+        F.array_sort(F.collect_set(F.nullif(F.col("source_username"), F.lit("")))).alias("source_player_usernames"),
     )
     out = [F.col("year"), F.col("month"), F.col("game_key")]
     out += [F.col(f"g.{f}").alias(f) for f in FIRST_FIELDS]

@@ -54,6 +54,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def first_late(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``first_per_key`` for rows that are cheap to read again (files): the same rows.
+
+    One aggregation of the keys names those of several rows, usually few.
+    Rows of other keys skip the shuffle with their payload; the named ones
+    are ranked. Spark broadcasts a short list of keys and splits hot ones."""
+    several = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
+    single = df.join(several, list(keys), "left_anti")
+    return single.unionByName(first_per_key(df.join(several, list(keys), "left_semi"), keys, order)).select(*df.columns)
+
+
 # --- C7 / C8 ----------------------------------------------------------------
 GAME_KEYS = ("year", "month", "game_uuid")
 GAME_ORDER = (("source_key_count", "desc"), ("source_player_count", "desc"), ("game_url", "asc"))
@@ -66,16 +77,17 @@ def default_game_tie_break(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c not in taken]
 
 
-def dedup_games(stg: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
+def dedup_games(stg: DataFrame, tie_break: Sequence[str] | None = None, late: bool = False) -> DataFrame:
     tie = default_game_tie_break(stg.columns) if tie_break is None else list(tie_break)
     order = sort_cols(*GAME_ORDER, *[(c, "asc") for c in tie])
-    return first_per_key(stg.filter(F.col("game_uuid").isNotNull()), list(GAME_KEYS), order)
+    first = first_late if late else first_per_key
+    return first(stg.filter(F.col("game_uuid").isNotNull()), list(GAME_KEYS), order)
 
 
 def silver_games(stg: DataFrame, month: str | None = None, months: Sequence[str] | None = None,
-                 tie_break: Sequence[str] | None = None) -> DataFrame:
+                 tie_break: Sequence[str] | None = None, late: bool = False) -> DataFrame:
     src = stg.filter(X.month_filter(month, months))
-    g = dedup_games(src, tie_break)
+    g = dedup_games(src, tie_break, late)
     return g.select(
         "month_key", "year", "month", "game_uuid", "game_url",
         F.col("game_date").cast("date").alias("game_date"),
@@ -105,12 +117,12 @@ def fact_order(tie_break: Sequence[str] = ()) -> list[Column]:
     )
 
 
-def dedup_facts(stg: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
+def dedup_facts(stg: DataFrame, tie_break: Sequence[str] | None = None, late: bool = False) -> DataFrame:
     if tie_break is None:
         taken = set(FACT_KEYS) | {"title", "opponent_title", "color", "month_key", "bucket"}
         tie_break = [c for c in stg.columns if c not in taken]
     src = stg.filter(F.col("game_uuid").isNotNull() & F.col("username").isNotNull())
-    return first_per_key(src, list(FACT_KEYS), fact_order(tie_break))
+    return (first_late if late else first_per_key)(src, list(FACT_KEYS), fact_order(tie_break))
 
 
 def score_band(score: str | Column = "score") -> Column:
@@ -119,9 +131,9 @@ def score_band(score: str | Column = "score") -> Column:
 
 
 def silver_facts(stg: DataFrame, month: str | None = None, months: Sequence[str] | None = None,
-                 tie_break: Sequence[str] | None = None) -> DataFrame:
+                 tie_break: Sequence[str] | None = None, late: bool = False) -> DataFrame:
     src = stg.filter(X.month_filter(month, months))
-    f = dedup_facts(src, tie_break)
+    f = dedup_facts(src, tie_break, late)
     return f.filter(F.coalesce("is_titled_player", F.lit(False)) & F.col("title").isNotNull()).select(
         "month_key", "year", "month", "game_uuid", "game_url",
         F.col("game_date").cast("date").alias("game_date"),
@@ -137,17 +149,35 @@ def silver_facts(stg: DataFrame, month: str | None = None, months: Sequence[str]
 
 
 # --- C12 / C13 --------------------------------------------------------------
-def silver_roster(stg: DataFrame, snapshot_date: str | None = None) -> DataFrame:
+#: Positions of a roster ranked together; a roster has as many slices as its positions span.
+SLICE = 10_000
+
+
+def silver_roster(stg: DataFrame, snapshot_date: str | None = None, slice_size: int = SLICE) -> DataFrame:
     """Best position per (date, title, username), then a gap-free rank.
 
-    The rank needs the whole (date, title) roster in order; a roster is
-    bounded by the number of players holding one title, so this window is
-    small next to the game tables.
+    The rank is a prefix sum: players are ranked within slices of
+    ``slice_size`` positions, and each slice is offset by the number of
+    players in the slices before it. A title of any size is so spread over
+    many tasks; only slice counts of a title meet in one. Players without a
+    position share the last slice, in name order, split by the name's first
+    letters.
     """
     src = stg.filter(X.snapshot_filter(snapshot_date))
     order = sort_cols(("snapshot_position", "asc"), ("username", "asc"), ("snapshot_player_count", "asc"))
     best = first_per_key(src, ["snapshot_date", "title", "username"], order)
-    w = Window.partitionBy("snapshot_date", "title").orderBy(
-        F.col("snapshot_position").asc_nulls_last(), F.col("username").asc_nulls_last())
-    return best.select("snapshot_date", "title", "username", "snapshot_player_count", "snapshot_position",
-                       F.row_number().over(w).cast("bigint").alias("snapshot_rank"))
+    part = F.struct(F.floor(F.col("snapshot_position") / slice_size).alias("n"),
+                    F.when(F.col("snapshot_position").isNull(), F.substring("username", 1, 2)).alias("name"))
+    best = best.withColumn("_slice", part)
+    group = ["snapshot_date", "title"]
+    sliced = [F.col("_slice.n").asc_nulls_last(), F.col("_slice.name").asc_nulls_last()]
+    before = Window.partitionBy(*group).orderBy(*sliced).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = best.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(c).alias(f"_{c}") for c in group], F.col("_slice").alias("_s"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*group, "_slice").orderBy(F.col("snapshot_position").asc_nulls_last(), F.col("username").asc_nulls_last())
+    ranked = best.withColumn("_rank", F.row_number().over(inside))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group] + [F.col("_slice").eqNullSafe(F.col("_s"))]
+    return ranked.join(offsets, same, "left").select(
+        "snapshot_date", "title", "username", "snapshot_player_count", "snapshot_position",
+        (F.col("_rank") + F.col("_before")).cast("bigint").alias("snapshot_rank"))

@@ -84,8 +84,8 @@ def write_months(df: DataFrame, lake_root: str, table: str, months: Sequence[str
 
 def build_silver(spark: SparkSession, lake_root: str, months: Sequence[str] | None,
                  roster: DataFrame | None = None) -> None:
-    g = silver.silver_games(silver.stage_games(lake.read_bronze_games(spark, lake_root, months)))
-    f = silver.silver_facts(silver.stage_facts(lake.read_bronze_facts(spark, lake_root, months)))
+    g = silver.silver_games(silver.stage_games(lake.read_bronze_games(spark, lake_root, months)), late=True)
+    f = silver.silver_facts(silver.stage_facts(lake.read_bronze_facts(spark, lake_root, months)), late=True)
     write_months(g, lake_root, lake.SILVER_GAMES, months)
     write_months(f, lake_root, lake.SILVER_FACTS, months)
     if roster is not None:

@@ -16,18 +16,21 @@ def struct(fields: list[tuple[str, T.DataType]]) -> T.StructType:
 
 # --- raw landing zone -------------------------------------------------------
 SIDE = struct([("username", S), ("rating", S), ("result", S)])
-# Fields of uncertain JSON type (end_time, rating, accuracies) are read as
-# text and coerced afterwards; a wrong-typed field then nulls one value, not
-# the whole document.
+# Fields of uncertain JSON type (end_time, rating) are read as text and coerced
+# afterwards; a wrong-typed field then nulls one value, not the whole document.
 GAME = struct([
     ("uuid", S), ("url", S), ("end_time", S), ("time_class", S), ("time_control", S), ("rated", B),
     ("rules", S), ("eco", S), ("initial_setup", S), ("fen", S), ("pgn", S), ("tcn", S),
     ("accuracies", S), ("white", SIDE), ("black", SIDE),
 ])
+# In files ``accuracies`` is read as a variant, which tells an object from a
+# text that holds one; in ``GAME`` it is JSON text.
+GAME_IN_FILE = struct([(f.name, T.VariantType() if f.name == "accuracies" else f.dataType) for f in GAME.fields])
 FEED_DOC = struct([
     ("username", S), ("year", S), ("month", S), ("month_key", S), ("game_count", I),
     ("games", T.ArrayType(GAME)),
 ])
+FEED_FILE = struct([(f.name, T.ArrayType(GAME_IN_FILE) if f.name == "games" else f.dataType) for f in FEED_DOC.fields])
 ROSTER_DOC = struct([("title", S), ("snapshot_date", S), ("player_count", I), ("players", SA)])
 ARCHIVE_DOC = struct([("title", S), ("username", S), ("snapshot_date", S), ("archive_count", I), ("archives", SA)])
 

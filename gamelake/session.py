@@ -21,6 +21,9 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The game merge keeps a payload per group; its hash map takes so many groups
+    # (some KB each) before it falls back to sorting.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 

@@ -79,7 +79,7 @@ select
   case when l_tax >= 0.075 then null else l_linestatus = 'O' end as rated,
   case when side = 'white' and l_linenumber % 3 = 0 then null else concat('https://games.example/openings/', replace(p_type, ' ', '-')) end as eco,
   case when side = 'black' and l_suppkey % 2 = 1 then '' else 'pgn-text' end as pgn,
-  case when l_suppkey % 5 = 0 then 'n/a' when l_suppkey % 5 = 1 then '{{}}' else concat('{{"white":', cast(l_linenumber + 80 as varchar(5)), ',"black":"x"}}') end as accuracies,
+  case when l_suppkey % 5 = 0 then concat(chr(34), 'n/a', chr(34)) when l_suppkey % 5 = 1 then '{{}}' when l_suppkey % 5 = 2 then concat(chr(34), '{{', chr(92), chr(34), 'white', chr(92), chr(34), ':50}}', chr(34)) when l_partkey % 10 = 0 then 'null' else concat('{{"black":"x","white":', cast(l_linenumber + 80 as varchar(5)), '}}') end as accuracies,
   concat('Player', cast(wid as varchar(9))) as white_username,
   case when l_linenumber = 6 then '' else cast(2000 + l_suppkey as varchar(9)) end as white_rating,
   case when l_returnflag = 'R' then 'win' when l_returnflag = 'A' then 'resigned' when l_linenumber = 7 then null else 'repetition' end as white_result,
@@ -256,6 +256,8 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from pyspark.sql import functions as F
 
+    from gamelake.sources.raw import games_of
+
     fx = view(spark, sf_dir, "fx_feed")
     side = lambda s: F.struct(F.col(f"{s}_username").alias("username"), F.col(f"{s}_rating").alias("rating"),
                               F.col(f"{s}_result").alias("result"))
@@ -271,7 +273,7 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "username", "year", "month", F.concat_ws("-", "year", "month").alias("month_key"),
         F.size("_games").cast("int").alias("game_count"),
-        F.transform("_games", lambda x: x["g"]).alias("games"),
+        games_of("_games").alias("games"),
         F.regexp_extract("raw_key", r"username=([^/]+)\.json$", 1).alias("feed"))
 
 

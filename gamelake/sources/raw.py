@@ -111,7 +111,7 @@ def month_dirs(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 #: Rows of ``read_feed``: the document with the file it came from.
-FEED_ROWS = SC.struct([*[(f.name, f.dataType) for f in SC.FEED_DOC.fields if f.name not in ("year", "month")],
+FEED_ROWS = SC.struct([*[(f.name, f.dataType) for f in SC.FEED_FILE.fields if f.name not in ("year", "month")],
                        ("year", SC.S), ("month", SC.S), ("feed", SC.S), ("raw_key", SC.S)])
 FILE_INDEX = "year string, month string, feed string, path string, length long, modified timestamp"
 
@@ -144,7 +144,7 @@ def read_feed(spark: SparkSession, root: str, months: Sequence[str] | None = Non
         paths = [dirs[m] for m in sorted(set(months)) if m in dirs]
         if not paths:
             return spark.createDataFrame([], FEED_ROWS)
-    df = (spark.read.schema(SC.FEED_DOC).option("multiLine", True).option("mode", "FAILFAST")
+    df = (spark.read.schema(SC.FEED_FILE).option("multiLine", True).option("mode", "FAILFAST")
           .option("basePath", root).option("recursiveFileLookup", False).json(paths))
     df = df.withColumn("raw_key", F.col("_metadata.file_path"))
     return df.withColumn("game_count", F.coalesce("game_count", F.size("games")))
@@ -215,6 +215,11 @@ def available_months(feed_paths: DataFrame, path: str = "raw_key") -> DataFrame:
             .filter(F.col("month_key").isNotNull()).distinct())
 
 
+def games_of(ranked: str | Column) -> Column:
+    """Sorted (pos, g) structs -> the document's games; ``accuracies`` text becomes the JSON value again."""
+    return F.transform(X.col(ranked), lambda x: x["g"].withField("accuracies", F.try_parse_json(x["g"]["accuracies"])))
+
+
 # --- A12 ---------------------------------------------------------------------------
 def pack_feed(occurrences: DataFrame, feed_col: str = "source_username") -> DataFrame:
     """Occurrences (year, month, <feed_col>, pos, game fields) -> one document
@@ -227,5 +232,5 @@ def pack_feed(occurrences: DataFrame, feed_col: str = "source_username") -> Data
         F.array_sort(F.collect_list(F.struct(F.col("pos"), F.struct(*game_fields).alias("g")))).alias("_games"))
     return docs.select(
         F.col(feed_col).alias("username"), "year", "month", F.concat_ws("-", "year", "month").alias("month_key"),
-        F.size("_games").cast("int").alias("game_count"), F.transform("_games", lambda x: x["g"]).alias("games"),
+        F.size("_games").cast("int").alias("game_count"), games_of("_games").alias("games"),
         F.col(feed_col).alias("feed"))

@@ -93,3 +93,54 @@ def test_read_feed_from_files(spark, tmp_path):
     assert r.end_time_utc == "2026-01-01T00:00:00+00:00" and r.white_rating == 2500.0
     assert r.white_accuracy == 90.5 and r.black_accuracy == 80.0
     assert feed.select(F.col("raw_key")).first()[0].endswith("username=A.json")
+
+
+def test_repeated_games_of_a_document(spark):
+    """Positions of later sightings in one array, against a plain loop; and files counted once either way."""
+    import random
+    rng = random.Random(2)
+    docs = []
+    for i in range(60):
+        games = [(rng.choice([None, "", "u1", "u2", "u3", f"v{rng.randrange(30)}"]), rng.choice([None, "", "l1", "l2"])) for _ in range(rng.choice([0, 1, 5, 40]))]
+        docs.append((f"k{i:02d}", "2024", "01", rng.choice([None, "", "ann", "bob"]), games))
+    feed = spark.createDataFrame(docs, "raw_key string, year string, month string, username string, games array<struct<uuid:string,url:string>>")
+
+    def plain(games):
+        seen, out = set(), []
+        for pos, (uuid, url) in enumerate(games):
+            key = uuid or url
+            if key and key in seen:
+                out.append(pos)
+            seen.add(key)
+        return sorted(out)
+
+    got = {r.raw_key: sorted(r.found) for r in feed.select("raw_key", bronze.repeated_positions("games").alias("found")).collect()}
+    assert got == {d[0]: plain(d[4]) for d in docs}
+    none = spark.createDataFrame([(None,)], "games array<struct<uuid:string,url:string>>")
+    assert none.select(bronze.repeated_positions("games").alias("x")).first()["x"] is None
+    occ = bronze.explode_feed(feed)
+    for name in ("end_time", "time_class", "time_control", "rated", "rules", "white", "black", "accuracies", "eco", "fen", "initial_setup", "pgn", "tcn"):
+        occ = occ.withColumn(name, F.lit(None).cast("string"))
+    files = {}
+    for key, _, _, _, games in docs:
+        for uuid, url in games:
+            if uuid or url:
+                files.setdefault(uuid or url, set()).add(key)
+    for rows in (occ, occ.drop("again")):
+        assert {r.game_key: r.source_key_count for r in bronze.merge_games(rows).collect()} == {k: len(v) for k, v in files.items()}
+
+
+def test_accuracies_are_objects_not_texts(spark, tmp_path):
+    """A JSON text holding an object gives no accuracy; it still counts as a value that a later sighting does not fill."""
+    values = ['{"white": 81.5, "black": "70"}', '"{\\"white\\": 50}"', '"n/a"', "{}", "null", "[1]", "12", None, '{"white": null}']
+    games = [{"uuid": f"g{i}"} | ({} if v is None else {"accuracies": json.loads(v)}) for i, v in enumerate(values)]
+    second = [{"uuid": f"g{i}", "accuracies": {"white": 1, "black": 2}} for i in range(len(values))]
+    place = tmp_path / "year=2024" / "month=01"
+    for name, listed in (("a", games), ("b", second)):
+        (place / f"feed={name}").mkdir(parents=True)
+        (place / f"feed={name}" / "x.json").write_text(json.dumps({"username": name, "games": listed}))
+    core = bronze.games_core_rows(bronze.merge_games(bronze.explode_feed(raw.read_feed(spark, f"file://{tmp_path}"))))
+    got = {r.game_uuid: (r.has_accuracies, r.white_accuracy, r.black_accuracy) for r in core.collect()}
+    filled, nothing = (True, 1.0, 2.0), (False, None, None)
+    assert got == {"g0": (True, 81.5, 70.0), "g1": nothing, "g2": nothing, "g3": filled, "g4": filled, "g5": nothing, "g6": nothing,
+                   "g7": filled, "g8": (True, None, None)}
