@@ -387,10 +387,10 @@ def backfill_report(state: DataFrame, result: DataFrame) -> DataFrame:
 
 # --- F17 / F18 / F19 --------------------------------------------------------------------
 def latest_roster(snapshots: DataFrame, key: str = "raw_key") -> DataFrame:
-    """Per title, the snapshot document with the greatest key."""
-    rest = [c for c in snapshots.columns if c != "title"]
-    return (snapshots.groupBy("title").agg(F.max_by(F.struct(*rest), F.col(key)).alias("_d"))
-            .select("title", *[F.col("_d")[c].alias(c) for c in rest]))
+    """Per title, the snapshot document with the greatest key: keys first, then
+    the winners' documents by a semi join. A key names one document."""
+    best = snapshots.filter(F.col("title").isNotNull()).groupBy("title").agg(F.max(key).alias(key))
+    return snapshots.join(best, ["title", key], "left_semi").select("title", *[c for c in snapshots.columns if c != "title"])
 
 
 LEGACY_GAME_KEY = r"^.*/([^/]+)/(\d{4})/(\d{2})\.json$"

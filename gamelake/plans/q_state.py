@@ -14,7 +14,7 @@ from gamelake import schemas as SC
 from gamelake.functions import exprs as X
 from gamelake.operators import state as ST
 from gamelake.plans.contract import block, oracle, register
-from gamelake.sources import fixtures, raw
+from gamelake.sources import fixtures, raw, state_store
 
 DAY1, DAY2, DAY3 = "2024-01-01", "2024-01-02", "2024-01-03"
 NOW = "2024-01-02 12:00:00"
@@ -136,13 +136,26 @@ def index0(spark, sf) -> DataFrame:
     return SC.conform(idx, SC.PLAYER_INDEX, {"archive_months": _empty(), "pending_backfill_months": _empty()})
 
 
-def after_refresh(spark, sf) -> tuple[DataFrame, DataFrame]:
+def refreshed(spark, sf) -> tuple[DataFrame, DataFrame]:
     s = state_ext(spark, sf)
     due = s.filter(ST.refresh_due(s, NOW)).select("username")
     results = refresh_all(spark, sf).join(due, "username", "left_semi")
     return ST.apply_refresh(s, index0(spark, sf), results, CURRENT, DAY2)
 
 
+def after_refresh(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """State and index after the refresh, saved once per input like any step of the control cycle."""
+    from gamelake.session import scratch_path
+    root = scratch_path(spark, "fixture", fixtures.input_token(spark, sf), "refreshed")
+
+    def save(tmp: str) -> None:
+        s, ix = refreshed(spark, sf)
+        state_store.commit(spark, tmp, state_store.read(spark, tmp), players=s, index=ix)
+
+    saved = state_store.read(spark, raw.publish(spark, root, save))
+    return saved.players, saved.index
+
+
 def queue(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     s, ix = after_refresh(spark, sf)
     return s, ix, ST.backfill_queue(s, ix, CURRENT, ST.BACKFILL_PLAYERS_PER_RUN, ST.BACKFILL_MONTHS_PER_PLAYER)
@@ -355,7 +368,7 @@ select title, username, strftime(archive_last_checked_at, '%Y-%m-%d %H:%M:%S') a
   coalesce(backfill_pending_count, 0) > 0 as backfill_pending, cast(backfill_pending_count as integer) as backfill_pending_count
 from s_f9""", "s_f9"))
 def q_archive_refresh_apply(spark, sf):
-    s, _ = after_refresh(spark, sf)
+    s, _ = refreshed(spark, sf)
     return s.select("title", "username", _ts("archive_last_checked_at").alias("checked_at"), "archive_hash",
                     "archive_snapshot_key", "latest_archive_month", "has_current_month_archive",
                     F.coalesce(F.col("backfill_pending_count"), F.lit(0)).__gt__(0).alias("backfill_pending"),
@@ -369,7 +382,7 @@ select u.username, """ + _agg("s_stored0", "stored_months") + ", " + _agg("s_ix_
     then concat('raw/player_archives/', u.username, '/""" + DAY2 + """.json') end as latest_archive_snapshot_key
 from s_ix_users u""", "s_ix_users", "s_stored0", "s_ix_arch", "s_ix_pending", "s_refreshed"))
 def q_archive_refresh_index(spark, sf):
-    _, ix = after_refresh(spark, sf)
+    _, ix = refreshed(spark, sf)
     return ix.select("username", _j("stored_months").alias("stored_months"), _j("archive_months").alias("archive_months"),
                      _j("pending_backfill_months").alias("pending_backfill_months"), "latest_archive_snapshot_key")
 

@@ -194,10 +194,13 @@ def archive_key_rank(key: str | Column = "raw_key") -> Column:
 
 
 def latest_archive_list(lists: DataFrame, key: str = "raw_key", user: str = "username") -> DataFrame:
-    """A3: per player, the archive-list document with the highest key rank."""
-    rest = [c for c in lists.columns if c != user]
-    return (lists.groupBy(user).agg(F.max_by(F.struct(*rest), archive_key_rank(key)).alias("_d"))
-            .select(user, *[F.col("_d")[c].alias(c) for c in rest]))
+    """A3: per player, the archive-list document with the highest key rank.
+
+    The ranks alone are aggregated; the winners' lists follow by a semi join
+    on the key. A key names one document (a file), so a player gets one row."""
+    best = (lists.filter(F.col(user).isNotNull()).groupBy(user).agg(F.max(F.struct(archive_key_rank(key).alias("r"), F.col(key).alias("k"))).alias("_b"))
+            .select(user, F.col("_b.k").alias(key)))
+    return lists.join(best, [user, key], "left_semi").select(user, *[c for c in lists.columns if c != user])
 
 
 # --- A13 ------------------------------------------------------------------------

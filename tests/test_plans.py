@@ -114,3 +114,18 @@ def test_roster_rank_in_slices_equals_the_plain_rank(spark):
         last[d, t] = last.get((d, t), 0) + 1
         want.append((d, t, u, c, p, last[d, t]))
     assert got == sorted(want, key=str)
+
+
+def test_latest_per_key_aggregates_keys_only(spark):
+    from gamelake.operators import state as ST
+    from gamelake.sources import raw
+    lists = spark.createDataFrame([("ann", "raw/player_archives/ann/2024-01-01.json", ["x"]), ("ann", "raw/player_archives/ann/2023/12.json", ["y"]),
+                                   ("bob", "raw/player_archives/bob/notes.json", []), (None, "k", ["z"])],
+                                  "username string, raw_key string, archives array<string>")
+    docs = spark.createDataFrame([("GM", "a/2024-01-01", ["p"]), ("GM", "a/2024-01-02", ["q"]), ("IM", "b", None)],
+                                 "title string, raw_key string, players array<string>")
+    latest, roster = raw.latest_archive_list(lists), ST.latest_roster(docs)
+    assert sorted((r.username, r.archives) for r in latest.collect()) == [("ann", ["x"]), ("bob", [])]
+    assert sorted((r.title, str(r.players)) for r in roster.collect()) == [("GM", "['q']"), ("IM", "None")]
+    for df in (latest, roster):
+        assert "max_by" not in plan(df)
