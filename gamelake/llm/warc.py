@@ -192,11 +192,12 @@ def _read(folder: str):
     return run
 
 
-def decide(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def decide(pages: DataFrame, least_bytes: int = 0, tasks: int | None = None) -> DataFrame:
     """(page_id, url, html, refers_to, size, sha1): refers_to set and html null for revisits.
 
     Of equal payloads of at least ``least_bytes`` the smallest page_id is the
-    response. Only digests are grouped; payloads are dealt by page_id.
+    response. Only digests are grouped; payloads are dealt by page_id and
+    digest, with ``tasks`` once and for all: the join and the writers use the same deal.
     """
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                        F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).filter("page_id is not null")
@@ -205,14 +206,19 @@ def decide(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     copies = (marks.join(first.filter("n > 1").select("sha1", "size", "first"), ["sha1", "size"])
               .filter("first <> page_id").select(F.col("page_id").alias("id"), F.col("first").alias("refers_to"), "sha1").distinct())
     keyed = own.select("page_id", "url", "html", F.octet_length("html").cast("long").alias("size"), F.sha1("html").alias("sha1"))
+    if tasks is not None:
+        keyed = keyed.repartition(tasks, "page_id", "sha1")
     joined = keyed.join(copies.withColumnRenamed("sha1", "same"), (F.col("page_id") == F.col("id")) & (F.col("sha1") == F.col("same")), "left")
     return joined.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "refers_to", "size", "sha1")
 
 
-def write_streams(records: DataFrame, folder: str, tasks: int) -> DataFrame:
-    """Monolithic archives of ``decide``'s rows in ``folder``: (path, records)."""
+def write_streams(records: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
+    """Monolithic archives of ``decide``'s rows in ``folder``: (path, records).
+    Without ``tasks`` the rows are archived as they are dealt."""
     small_batches(records.sparkSession, 500)
-    dealt = records.select("page_id", "url", "html", "refers_to", "size", "sha1").repartition(tasks, F.xxhash64("page_id", "sha1"))
+    dealt = records.select("page_id", "url", "html", "refers_to", "size", "sha1")
+    if tasks is not None:
+        dealt = dealt.repartition(tasks, F.xxhash64("page_id", "sha1"))
     return written(dealt.mapInArrow(_write_streams(folder), "path string, records long"), "streams")
 
 
@@ -241,5 +247,5 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     tasks = max(1, -(-pages.count() // ARCHIVE_PAGES), spark.sparkContext.defaultParallelism)
     raw, folder = shared_path(spark, "warc-streams"), shared_path(spark, "warc")
-    streams = write_streams(decide(pages, least_bytes), raw, tasks)
+    streams = write_streams(decide(pages, least_bytes, tasks), raw)
     return read_archives(normalise(streams, raw, folder), folder)
