@@ -151,7 +151,8 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
 
     chars = F.char_length("line")
     long_lines = lines.filter("doc_id is not null").filter(chars >= min_chars)
-    keyed = segment_keys(long_lines.select("h", "line", chars.alias("n")), max_edits, min_chars)
+    # Twelve keys a line, read twice below: cheaper to write than to compute again.
+    keyed = written(segment_keys(long_lines.select("h", "line", chars.alias("n")), max_edits, min_chars), "line-keys")
     shared = written(keyed.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo <> hi").select("key"), "shared-keys")
     members = written(keyed.filter(may_hold(sieve(shared, "key"), F.col("key"))).distinct()
                       .join(shared, "key", "left_semi").select("key", F.col("h").alias("id")), "line-buckets")
