@@ -1,7 +1,10 @@
 """Language spans: script ranges narrow the candidates, Viterbi labels the words.
 
-Every word gets a score per language from hashed byte trigrams; languages that
-do not use the word's script are out. The best labelling maximises the scores
+Words are letter runs of one script; scripts written without spaces give a word
+per code point. Every word gets a score per language from hashed byte trigrams
+(which do not cross texts); a language that does not use the word's script never
+labels it, and words of a script that no learnt language uses are ``und`` spans.
+The best labelling maximises the scores
 less a penalty per change of language. Texts for which no stretch of words
 gains more than half the penalty in another language are one span (exact: s
 such stretches need at least s - 1 changes; found by largest partial sums); only the others walk the Viterbi recurrence.
@@ -19,24 +22,33 @@ from gamelake.llm import blocks
 from gamelake.llm.tables import small_batches
 
 SLOTS = 1 << 16
+#: Scores are multiples of 1 / GRAIN, so sums are exact and do not depend on the texts beside a text.
+GRAIN = 1 << 12
 PENALTY = 12.0
 #: Least score of a word against the best language, so that one odd word cannot switch the text.
 FLOOR = -8.0
 #: Fixed first code points of script ranges; a range ends where the next begins.
 SCRIPTS = ((0x0, "Latin"), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armenian"), (0x590, "Hebrew"),
            (0x600, "Arabic"), (0x900, "Devanagari"), (0x980, "Indic"), (0xE00, "Thai"), (0xE80, "Lao"),
-           (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Ethiopic"), (0x1E00, "Latin"), (0x1F00, "Greek"),
-           (0x2000, "Other"), (0x3040, "Kana"), (0x3100, "Han"), (0xAC00, "Hangul"), (0xD7B0, "Other"), (0xF900, "Han"),
-           (0xFB00, "Other"))
+           (0x1000, "Myanmar"), (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Ethiopic"), (0x1780, "Khmer"),
+           (0x1800, "Other"), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, "Other"), (0x2E80, "Han"), (0x3040, "Kana"),
+           (0x3100, "Han"), (0xA4D0, "Other"), (0xAC00, "Hangul"), (0xD7B0, "Other"), (0xF900, "Han"), (0xFB00, "Other"),
+           (0x20000, "Han"))
+#: Fixed scripts written without spaces between words.
+UNSPACED = ("Thai", "Lao", "Myanmar", "Khmer", "Kana", "Han")
+#: Fixed ranges beyond ASCII that hold signs and no letters (first, last code point).
+SIGNS = ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF), (0xD7, 0xD7), (0xF7, 0xF7), (0x2000, 0x2070), (0x20A0, 0x20CF),
+         (0x2190, 0x2BFF), (0x2E00, 0x2E2E), (0x3000, 0x3004), (0x3008, 0x3020), (0xFE00, 0xFE6F), (0xFF00, 0xFF20),
+         (0x1F000, 0x1FAFF))
 #: Least share of a language's words for a script to count as its own.
 SCRIPT_SHARE = 0.01
 
 _NAMES = sorted({name for _, name in SCRIPTS})
 _FIRST = np.asarray([c for c, _ in SCRIPTS])
 _SCRIPT = np.asarray([_NAMES.index(name) for _, name in SCRIPTS])
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[97:123] = True
-_LETTER[128:] = True
+_LATIN = _NAMES.index("Latin")
+_UNSPACED = np.isin(_NAMES, UNSPACED)
+_SIGN_EDGES = np.asarray(SIGNS).ravel() + np.tile([0, 1], len(SIGNS))
 _COUNTS = pa.schema([("lang", pa.string()), ("slot", pa.int32()), ("n", pa.int64())])
 
 
@@ -44,22 +56,45 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _trigrams(block: blocks.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Trigram slot of each byte, and starts and ends of letter runs (words)."""
-    letter = _LETTER[block.buf]
-    starts, ends = block.runs(letter)
-    padded = np.full(len(block.buf) + 2, 32, dtype=np.uint32)
-    padded[1:-1] = np.where(letter, block.buf, 32)
-    code = (padded[:-2] << 16) | (padded[1:-1] << 8) | padded[2:]
-    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64), starts, ends
-
-
-def _scripts(block: blocks.Block, starts: np.ndarray) -> np.ndarray:
-    """Script of each word's first code point."""
-    buf = np.concatenate([block.buf, np.zeros(3, np.uint8)]).astype(np.int64)
-    b0, b1, b2 = buf[starts], buf[starts + 1] & 63, buf[starts + 2] & 63
-    point = np.where(b0 < 0x80, b0, np.where(b0 < 0xE0, ((b0 & 31) << 6) | b1, ((b0 & 15) << 12) | (b1 << 6) | b2))
-    return _SCRIPT[np.searchsorted(_FIRST, point, side="right") - 1]
+def _words(block: blocks.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(which bytes belong to letters, starts, ends and scripts of the words)."""
+    buf, n = block.buf, len(block.buf)
+    letter = (buf >= 97) & (buf <= 122)
+    script = np.full(n, _LATIN, dtype=np.int8)
+    cut = np.ones(n + 1, dtype=bool)
+    lead = np.flatnonzero(buf >= 0xC0)
+    if len(lead):
+        b0 = buf[lead].astype(np.int64)
+        tail = np.concatenate([buf, np.zeros(3, np.uint8)]).astype(np.int64) & 63
+        b1, b2, b3 = tail[lead + 1], tail[lead + 2], tail[lead + 3]
+        size = np.where(b0 < 0xE0, 2, np.where(b0 < 0xF0, 3, 4))
+        point = np.where(size == 2, ((b0 & 31) << 6) | b1, np.where(
+            size == 3, ((b0 & 15) << 12) | (b1 << 6) | b2, ((b0 & 7) << 18) | (b1 << 12) | (b2 << 6) | b3))
+        kind = _SCRIPT[np.searchsorted(_FIRST, point, side="right") - 1]
+        sign = np.searchsorted(_SIGN_EDGES, point, side="right") % 2 == 1
+        for i in range(4):
+            at = lead[size > i] + i
+            script[at], letter[at] = kind[size > i], ~sign[size > i]
+    key = np.where(letter, script, -1)
+    np.not_equal(key[1:], key[:-1], out=cut[1:n])
+    if len(lead):
+        cut[lead[_UNSPACED[kind]]] = True
+    cut[block.offs] = True
+    edges = np.flatnonzero(cut)
+    starts, ends = edges[:-1], edges[1:]
+    inside = letter[starts]
+    return letter, starts[inside], ends[inside], script[starts[inside]]
+
+
+def _trigrams(block: blocks.Block, letter: np.ndarray) -> np.ndarray:
+    """Trigram slot of each byte; a text's first and last letters have blanks beside them."""
+    own = np.where(letter, block.buf, 32).astype(np.uint32)
+    before, after = np.full(len(own), 32, np.uint32), np.full(len(own), 32, np.uint32)
+    before[1:], after[:-1] = own[:-1], own[1:]
+    before[block.offs[block.offs < len(own)]] = 32
+    after[block.offs[block.offs > 0] - 1] = 32
+    code = (before << 16) | (own << 8) | after
+    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
 def _count(batches):
@@ -67,9 +102,8 @@ def _count(batches):
     for batch in batches:
         langs = batch.column(1).to_pylist()
         for block in blocks.text_blocks(pc.utf8_lower(batch.column(0))):
-            slot, starts, ends = _trigrams(block)
-            script = _scripts(block, starts)
-            letter = _LETTER[block.buf]
+            letter, starts, _, script = _words(block)
+            slot = _trigrams(block, letter)
             first = np.searchsorted(starts, block.offs)
             for d in range(len(block)):
                 mine = grams.setdefault(langs[block.lo + d], np.zeros(SLOTS + len(_NAMES), np.int64))
@@ -104,24 +138,32 @@ def learn(docs: DataFrame) -> Model:
         row = np.asarray([place[x] for x in counted.column("lang").to_pylist()])
         table[row, counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     grams, scripts = table[:, :SLOTS], table[:, SLOTS:]
-    scores = np.log((grams + 0.5) / (grams.sum(axis=1, keepdims=True) + 0.5 * SLOTS)).astype(np.float32)
+    scores = np.log((grams + 0.5) / (grams.sum(axis=1, keepdims=True) + 0.5 * SLOTS))
+    scores = np.round(scores * GRAIN) / GRAIN
     allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
     return Model(langs, scores, allowed)
 
 
-def word_scores(block: blocks.Block, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(score per word and language, at most 0; starts; ends)."""
-    slot, starts, ends = _trigrams(block)
+def word_scores(block: blocks.Block, model: Model, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(score per word and language, at most 0; starts; ends; whether some language uses the word's script).
+
+    A language that does not use a script scores worse than two changes, so
+    that no best labelling gives it such a word.
+    """
+    letter, starts, ends, script = _words(block)
+    slot = _trigrams(block, letter)
     out = np.zeros((len(starts), len(model.langs)))
     for i in range(len(model.langs)):
-        total = np.concatenate([[0.0], np.cumsum(model.scores[i][slot], dtype=np.float64)])
+        total = np.concatenate([[0.0], np.cumsum(model.scores[i][slot])])
         out[:, i] = total[ends] - total[starts]
-    fits = model.allowed[:, _scripts(block, starts)].T
-    none = ~fits.any(axis=1)
+    fits = model.allowed[:, script].T
+    known = fits.any(axis=1)
     out[~fits] = -np.inf
-    out[none] = 0.0  # a script of no known language says nothing
+    out[~known] = 0.0  # a script of no known language says nothing
     out -= out.max(axis=1, keepdims=True)
-    return np.maximum(out, FLOOR), starts, ends
+    out = np.maximum(out, FLOOR)
+    out[~fits & known[:, None]] = FLOOR - np.ceil(2 * penalty) - 1
+    return out, starts, ends, known
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
@@ -166,7 +208,7 @@ def one_language(scores: np.ndarray, lengths: np.ndarray, penalty: float = PENAL
     top = total.argmax(axis=1)
     base = scores[np.arange(n), top[owner]]
     mixed = np.zeros(len(lengths), dtype=bool)
-    step = owner * (2 * (n * -FLOOR + 1.0))  # each text's sums lie below those before it
+    step = owner * (2 * (n * -scores.min(initial=FLOOR) + 1.0))  # each text's sums lie below those before it
     for i in range(k):
         gain = np.cumsum(scores[:, i] - base) - step
         least = np.minimum.accumulate(gain - (scores[:, i] - base))
@@ -193,9 +235,10 @@ def _labelled(model: Model, penalty: float):
 
     def run(batches):
         for batch in batches:
-            sizes, lengths, tops, mixeds, hard, letters = [], [], [], [], [], []
+            sizes, lengths, tops, mixeds, knowns, hard, letters = [], [], [], [], [], [], []
             for block in blocks.text_blocks(pc.utf8_lower(batch.column(1))):
-                scores, starts, ends = word_scores(block, model) if k else (np.zeros((0, 0)), np.zeros(0, int), np.zeros(0, int))
+                scores, starts, ends, known = (word_scores(block, model, penalty) if k else
+                                               (np.zeros((0, 0)), np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool)))
                 first = np.searchsorted(starts, block.offs)
                 n = np.diff(first)
                 if len(starts):
@@ -208,14 +251,16 @@ def _labelled(model: Model, penalty: float):
                     lo, hi = block.offs[d], block.offs[d + 1]
                     letters.append(n[d] > 0 and (ascii_letters[hi] > ascii_letters[lo]
                                                  or any(c.isalpha() for c in block.buf[lo:hi].tobytes().decode("utf-8"))))
-                for got, one in ((sizes, ends - starts), (lengths, n), (tops, top), (mixeds, mixed)):
+                for got, one in ((sizes, ends - starts), (lengths, n), (tops, top), (mixeds, mixed), (knowns, known)):
                     got.append(one)
             if not lengths:
                 continue
-            sizes, lengths, tops, mixeds = (np.concatenate(x) for x in (sizes, lengths, tops, mixeds))
+            sizes, lengths, tops, mixeds, knowns = (np.concatenate(x) for x in (sizes, lengths, tops, mixeds, knowns))
             path = np.repeat(tops, lengths)
             if mixeds.any():  # one walk for all mixed texts of the batch
                 path[np.repeat(mixeds, lengths)] = viterbi(np.concatenate(hard), lengths[mixeds], penalty)
+            path[~knowns] = k
+            names = [*model.langs, "und"]
             pred, share, spans = [], [], []
             at = 0
             for d, n in enumerate(lengths.tolist()):
@@ -226,12 +271,12 @@ def _labelled(model: Model, penalty: float):
                     share.append(0.0)
                     spans.append([])
                     continue
-                part = np.bincount(own, weights=size, minlength=k)
-                win = int(part.argmax())
+                part = np.bincount(own, weights=size, minlength=k + 1)
+                win = int(part[:k].argmax())
                 pred.append(model.langs[win])
                 share.append(float(part[win] / part.sum()))
                 cut = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [n]]).tolist()
-                spans.append([{"lang": model.langs[own[a]], "first_word": a, "n_words": b - a} for a, b in zip(cut[:-1], cut[1:])])
+                spans.append([{"lang": names[own[a]], "first_word": a, "n_words": b - a} for a, b in zip(cut[:-1], cut[1:])])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(share, pa.float64()),
                                               pa.array(spans, _LABELS.field("spans").type)], schema=_LABELS)
 
@@ -241,9 +286,11 @@ def _labelled(model: Model, penalty: float):
 def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
     """(doc_id, lang_pred, score, spans) for every row of ``docs`` (doc_id, text).
 
-    spans: the labelled stretches of words (runs of letters, lower-cased) in
-    order; lang_pred: the language of most letter bytes (ties: first in name
-    order); score: its share of them. Null texts and texts without letters,
+    spans: the labelled stretches of words (runs of letters of one script,
+    lower-cased; single code points of scripts without spaces) in order, ``und``
+    where no learnt language uses the script; lang_pred: the learnt language of
+    most letter bytes (ties and none: first in name order); score: its share of
+    all letter bytes. An answer depends on the text alone. Null texts and texts without letters,
     and all texts when no language was learnt, are ``und`` with score 0 and no
     spans. Null doc_ids and repeated rows are answered row by row; empty
     tables give empty results; extra columns are ignored.
