@@ -52,8 +52,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("symbol_rate", "mark_rate", "dup_line_share", "repeat_share", "upper_share", "digit_share", "mean_word",
             "same_as_last", "bare_word_share")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in COUNTS],
-                     *[(f, pa.float64()) for f in FEATURES]])
-_DDL = ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], *[f"{f} double" for f in FEATURES]])
+                     *[(f, pa.float64()) for f in FEATURES], ("text_hash", pa.int64())])
+_DDL = ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], *[f"{f} double" for f in FEATURES], "text_hash long"])
 
 
 def block_statistics(block: blocks.Block) -> dict[str, np.ndarray]:
@@ -106,6 +106,7 @@ def block_statistics(block: blocks.Block) -> dict[str, np.ndarray]:
 
     same = np.zeros(len(word), dtype=np.int64)
     same[1:] = word[1:] == word[:-1]
+    same[first[:-1][n_words > 0]] = 0  # a text's first word has none before it
     letters = np.concatenate([[0], np.cumsum(_IS_LETTER[buf] + (buf >= 0xC3))])
     bare = (letters[ends] == letters[starts]).astype(np.int64)
     some = np.maximum(n_words, 1)
@@ -130,15 +131,16 @@ def _statistics(batches):
     for batch in batches:
         for block in blocks.text_blocks(batch.column(1)):
             found = block_statistics(block)
-            cols = [batch.column(0).slice(block.lo, len(block))]
-            cols += [pa.array(found[f.name], f.type) for f in _SCHEMA if f.name != "doc_id"]
+            given = [batch.column(i).slice(block.lo, len(block)) for i in (0, 2)]
+            cols = [given[0], *[pa.array(found[f.name], f.type) for f in _SCHEMA if f.name in found], given[1]]
             yield pa.RecordBatch.from_arrays(cols, schema=_SCHEMA)
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts of the rules and the points the forest splits."""
+    """doc_id, the counts of the rules, the points the forest splits, and a hash of the text."""
     small_batches(docs.sparkSession)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     return text.mapInArrow(_statistics, _DDL)
 
 
@@ -243,7 +245,8 @@ def _scored(forest, weight):
                 continue
             points = np.column_stack([batch.column(1 + names.index(f)).to_numpy() for f in FEATURES])
             score = pa.array(anomaly(points, forest, weight), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: 1 + len(COUNTS)], score], names=["doc_id", *COUNTS, "anomaly"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: 1 + len(COUNTS)], score, batch.columns[-1]],
+                                              names=["doc_id", *COUNTS, "anomaly", "text_hash"])
 
     return run
 
@@ -283,6 +286,11 @@ def judge(docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS) -> Dat
     Without good or bad labels the forest rejects nothing. Empty tables give
     empty results. Extra columns are ignored.
     """
+    return _judged(docs, labels, max_loss).drop("text_hash")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
+    """``judge`` with the hash of each row's text, which tells apart rows that share a doc_id."""
     found = written(statistics(docs), "rules")
     usable = found.filter((F.col("n_words") >= 20) & (100 * F.col("n_repeat_words") <= 30 * F.col("n_words")))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(1_000_000))
@@ -299,7 +307,7 @@ def judge(docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS) -> Dat
     shown = judged.filter(draw < F.when(F.col("quality") == 1, int(1_000_000 * part[1])).otherwise(int(1_000_000 * part[0])))
     known = np.asarray(sorted(tuple(r) for r in shown.select("quality", *FEATURES).collect()), dtype=float).reshape(-1, 1 + len(FEATURES))
     weight = weigh(paths(known[:, 1:], forest), known[:, 0] == 1)
-    scored = written(found.mapInArrow(_scored(forest, weight), ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], "anomaly double"])),
+    scored = written(found.mapInArrow(_scored(forest, weight), ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], "anomaly double", "text_hash long"])),
                      "scores")
     level = F.floor(F.col("anomaly") * BINS)
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -307,11 +315,19 @@ def judge(docs: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS) -> Dat
             .agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")).collect())
     limit = calibrate([(r["bin"] / BINS, r["good"], r["bad"]) for r in bins], max_loss)
     usual = level / BINS < limit if limit is not None else F.lit(True)
-    return scored.select("doc_id", *COUNTS, base.alias("base_failed"), (~base & usual).alias("kept"), "anomaly")
+    return scored.select("doc_id", *COUNTS, base.alias("base_failed"), (~base & usual).alias("kept"), "anomaly", "text_hash")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document the rules keep (null doc_ids are kept or
-    dropped together)."""
-    bad = judge(docs, labels, **options).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_gone"]), "left_anti")
+    """The rows of ``docs`` that the rules keep, columns as given.
+
+    Every row is judged by its own text, whether its doc_id is null or stands
+    in other rows too: only the bad ones of such rows go. Null and empty texts
+    go (they fail the base rules). Without good or bad labels only the base
+    rules reject. Empty tables give empty results; columns of any other name
+    pass through.
+    """
+    bad = (_judged(docs, labels, **options).filter("not kept")
+           .select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct())
+    own = docs["doc_id"].cast("long").eqNullSafe(bad["_gone"]) & (F.xxhash64(docs["text"].cast("string")) == bad["_hash"])
+    return docs.join(bad, own, "left_anti")

@@ -88,3 +88,40 @@ def test_calibration_limits():
     assert quality.calibrate([]) is None and quality.calibrate([(0.5, 3, 0)]) is None
     assert quality.calibrate([(0.4, 100, 0), (0.6, 0, 10)]) == 0.5
     assert quality.calibrate([(0.4, 50, 0), (0.6, 50, 10)], max_loss=0.1) is None
+
+
+def plain_rates(text):
+    """The nine rates of one text, read off the rules."""
+    words, own = WORD.findall(text), Counter(text)
+    n, chars = len(words), sum(map(len, WORD.findall(text)))
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    letters = sum(own[c] for c in own if c.isascii() and c.isalpha())
+    _, _, symbols, dup, covered, _ = plain(text)
+    same = sum(a == b for a, b in zip(words, words[1:]))
+    bare = sum(not re.search(r"[A-Za-zÀ-\U0010FFFF]", w) for w in words)
+    some = max(n, 1)
+    return [symbols / some, (own["!"] + own["?"]) / some, dup / max(len(lines), 1), covered / some,
+            sum(own[c] for c in own if c.isascii() and c.isupper()) / max(letters, 1), sum(own[c] for c in "0123456789") / max(chars, 1),
+            chars / some, same / some, bare / some]
+
+
+def test_all_rates_match_a_plain_count_whatever_stands_beside():
+    rng = np.random.default_rng(4)
+    parts = ["hello", "hello", "there", "we", "WE", "12", "#", "é", "!?", "\n", "a b c d e f g h", "…"]
+    texts = ["we say hello", "hello there my friend", "friend", "friend friend", "", "\n", "x"]
+    texts += [" ".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(80)]
+    for order in (np.arange(len(texts)), rng.permutation(len(texts))):
+        rows = [texts[i] for i in order]
+        [block] = list(quality.blocks.text_blocks(pa.array(rows)))
+        got = quality.block_statistics(block)
+        want = np.log1p([plain_rates(t) if WORD.search(t) else [0.0] * 9 for t in rows])
+        assert np.allclose(np.column_stack([got[f] for f in quality.FEATURES]), want, rtol=0, atol=1e-12)
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, good), (None, "bad"), (5, good), (5, "bad"), (5, None), (6, good), (6, good)]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, kept string, text_hash int")
+    kept = quality.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, good), (5, good), (6, good), (6, good)]
