@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamelake.llm.graph import linked_components
+from gamelake.llm.graph import join_few, linked_components
 from gamelake.llm.sieve import may_hold, sieve
-from gamelake.llm.tables import written
+from gamelake.llm.tables import Parts, written
 
 #: Edits allowed between near lines.
 MAX_EDITS = 2
@@ -120,22 +120,25 @@ def _near_kept(linked: DataFrame, members: DataFrame, texts: DataFrame, check, a
     tests one line a bucket against the others.
     """
     texts = texts.withColumnRenamed("h", "id")
-    heads = (linked.groupBy("component").agg(F.min("place").alias("first")).join(texts, F.col("first.id") == F.col("id"))
-             .select("component", F.col("first.id").alias("head"), F.col("line").alias("head_line"), F.col("counts").alias("head_counts")))
+    heads = (linked.groupBy("component").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+             .join(texts, F.col("first.id") == F.col("id"))
+             .select("component", F.col("first.id").alias("head"), F.col("line").alias("head_line"), F.col("counts").alias("head_counts"), "n"))
+    heads = written(heads, "heads")
     near = (F.col("id") == F.col("head")) | alike("line", "head_line", "counts", "head_counts")
-    settled = written(linked.join(texts, "id").join(heads, "component").filter(near).select("id", "head"), "kept-lines")
-    left = written(members.join(linked.join(settled, "id", "left_anti"), "id").select("key", "component", "id", "place"), "lines-left")
-    while not left.isEmpty():
+    settled = Parts("kept-lines")
+    new = settled.add(join_few(linked.join(texts, "id"), heads, "component", "id", "n").filter(near).select("id", "head"))
+    left = members.join(linked, "id").select("key", "component", "id", "place")
+    while True:
+        left = left.join(new, "id", "left_anti").select("key", "component", "id", "place")
         low = left.groupBy("key", "component").agg(F.min("place").alias("low"))
-        marked = written(left.join(low, ["key", "component"]), "lines-marked")
-        stay = written(marked.groupBy("id").agg(F.min(F.col("place") == F.col("low")).alias("stays")).filter("stays").select("id"), "lines-staying")
-        pairs = (marked.filter("place <> low").select(F.col("low.id").alias("a"), F.col("id").alias("b"))
+        left = written(left.join(low, ["key", "component"]), "lines-left")
+        if left.isEmpty():
+            return settled.all()
+        stay = left.groupBy("id").agg(F.min(F.col("place") == F.col("low")).alias("stays")).filter("stays").select("id")
+        pairs = (left.filter("place <> low").select(F.col("low.id").alias("a"), F.col("id").alias("b"))
                  .join(stay.withColumnRenamed("id", "a"), "a", "left_semi").distinct())
         gone = check(pairs).groupBy("b").agg(F.min("a").alias("head"))
-        new = written(gone.select(F.col("b").alias("id"), "head").unionByName(stay.select("id", F.col("id").alias("head"))), "kept-lines")
-        settled = settled.unionByName(new)
-        left = written(left.join(new, "id", "left_anti"), "lines-left")
-    return settled
+        new = settled.add(gone.select(F.col("b").alias("id"), "head").unionByName(stay.select("id", F.col("id").alias("head"))))
 
 
 def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, direct: bool = False) -> DataFrame:
@@ -182,19 +185,20 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
     tied = (classes.join(comps, F.col("h") == F.col("id"), "left").drop("id").join(degree, F.col("h") == F.col("id"), "left").drop("id")
             .withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
             .withColumn("component", F.when(F.col("n_links") > 0, F.coalesce("component", "h"))))
+    tied = written(tied, "tied-lines")
     if direct:
-        tied = written(tied, "tied-lines")
         linked = tied.filter("n_links > 0").groupBy("h").agg(
             F.min("component").alias("component"), F.min(F.struct("doc_id", "pos", F.col("h").alias("id"))).alias("place"))
         kept = _near_kept(linked.withColumnRenamed("h", "id"), members, texts, check, alike).withColumnRenamed("head", "keep")
         # The line that stays names its component anew.
-        tied = (tied.drop("component").join(kept, F.col("h") == F.col("id"), "left").drop("id")
-                .withColumnRenamed("keep", "component"))
-    heads = (tied.filter("n_links > 0").groupBy("component")
-             .agg(F.min(F.struct("doc_id", "pos", "h", "h2")).alias("head")))
-    return (tied.join(heads, "component", "left")
-            .select("h", "h2", "n_docs", "n_links", F.coalesce("head.doc_id", "doc_id").alias("doc_id"),
-                    F.coalesce("head.h", "h").alias("keep_h"), F.coalesce("head.h2", "h2").alias("keep_h2")))
+        tied = written(tied.drop("component").join(kept, F.col("h") == F.col("id"), "left").drop("id")
+                       .withColumnRenamed("keep", "component"), "tied-lines")
+    names = ["h", "h2", "n_docs", "n_links"]
+    linked = tied.filter("n_links > 0")
+    heads = written(linked.groupBy("component").agg(F.min(F.struct("doc_id", "pos", "h", "h2")).alias("head"), F.count("*").alias("n")), "heads")
+    return (join_few(linked, heads, "component", "h", "n")
+            .select(*names, "head.doc_id", F.col("head.h").alias("keep_h"), F.col("head.h2").alias("keep_h2"))
+            .unionByName(tied.filter("n_links = 0").select(*names, "doc_id", F.col("h").alias("keep_h"), F.col("h2").alias("keep_h2"))))
 
 
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,

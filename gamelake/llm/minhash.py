@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gamelake.llm import blocks
-from gamelake.llm.graph import linked_components
+from gamelake.llm.graph import components, linked_components
 from gamelake.llm.sieve import may_hold, sieve
 from gamelake.llm.tables import small_batches, written
 
@@ -224,10 +224,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
                .agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("a", "b"))
     comps, links = linked_components(members, check, (profiles, within))
     if not several.isEmpty():
-        from gamelake.llm.graph import components
-
         links = written(links.unionByName(several).distinct(), "links")
-        comps = written(components(links), "components")
+        comps = components(links)
     degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links")))
     known = (classes.join(comps, classes.rep == comps.id, "left").join(degree, "rep", "left")
              .select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("c"), F.coalesce("n_links", F.lit(0)).alias("n_links")))

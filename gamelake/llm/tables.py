@@ -24,6 +24,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Parts:
+    """A table written in parts, read as one scan over their folders.
+
+    The plan does not grow with the number of parts, as a union's would.
+    """
+
+    def __init__(self, name: str):
+        self.name, self.paths = name, []
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write a part; the part alone."""
+        self.spark, self.schema = df.sparkSession, df.schema
+        self.paths.append(shared_path(self.spark, self.name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(self.schema).parquet(self.paths[-1])
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.paths)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
