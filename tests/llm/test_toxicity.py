@@ -54,3 +54,19 @@ def test_folding_joins_spaced_letters():
     starts, ends = toxicity.word_runs(folded)
     words = ["".join(chr(96 + c) for c in folded.buf[a:b]) for a, b in zip(starts, ends)]
     assert words[:2] == ["you", "idiotab"] and words[2] == "idiot"
+
+
+def test_values_do_not_depend_on_neighbours():
+    """A text alone and among others in any order: equal but for the last bits of running sums."""
+    rng = np.random.default_rng(11)
+    model = toxicity.Model(rng.normal(size=toxicity.SEQUENCES), -0.3, 1.0, 0.0)
+    texts = ["", "one", "a b", "i d i o t", "fox zzz", "zzz fox", "пример слова", "é ß 漢 1", " \n", "x" * 5000, "end a", "b begin", "one"]
+
+    def values(rows):
+        [block] = list(blocks.text_blocks(pc.utf8_lower(pa.array(rows))))
+        return toxicity.worst_words(block, model)
+
+    alone = np.concatenate([values([t]) for t in texts])
+    for _ in range(5):
+        order = rng.permutation(len(texts))
+        assert np.abs(values([texts[i] for i in order]) - alone[order]).max() < 1e-9
