@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gamelake.operators import silver
+from gamelake.plans import contract
+from gamelake.plans import q_silver_gold as SG
 from gamelake.sources import fixtures, raw
 
 
@@ -53,3 +56,19 @@ def test_documents_hold_the_feed_rows_and_cross_one_shuffle(spark, tables, tmp_p
     assert names and all(n.endswith(".json.gz") for n in names)
     assert raw.read_feed(spark, str(tmp_path / "zone")).agg(F.sum(F.size("games"))).first()[0] == \
         docs.filter("feed is not null and year is not null").agg(F.sum("game_count")).first()[0]
+
+
+def test_games_are_dealt_once_for_both_dedups(spark, tables):
+    facts, games = SG.silver_facts(spark, tables), SG.silver_games(spark, tables)
+    for df in (facts, games):
+        assert plan(df).count("hashpartitioning(game_uuid") == plan(df).count("REPARTITION_BY_COL") == 1
+    plain = silver.silver_facts(SG.stg_facts(spark, tables))
+    assert sorted(map(repr, facts.collect())) == sorted(map(repr, plain.collect())) and facts.count() > 0
+    plain = silver.silver_games(SG.stg_games(spark, tables))
+    assert sorted(map(repr, games.collect())) == sorted(map(repr, plain.collect())) and games.count() > 0
+
+
+def test_month_counts_read_the_games_once(spark, tables):
+    counts = contract.load_all()["month_filter"].build(spark, tables)
+    assert plan(counts).count("REPARTITION_BY_COL") == 1
+    assert {r["mode"]: r["n"] for r in counts.collect()}["none"] == SG.silver_games(spark, tables).count()
