@@ -58,3 +58,18 @@ def test_moved_documents_are_gzipped_and_whole(spark, tmp_path):
     assert len(names) == 1 and names[0].endswith(".gz")
     assert [r.value for r in spark.read.text(names, wholetext=True).collect()] == [value + "\n"]
     assert [len(r.games) for r in raw.read_feed(spark, f"{tmp_path}/new").collect()] == [2]
+
+
+def test_a_task_makes_its_documents_one_by_one(spark, tables, tmp_path):
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    docs = fixtures.feed_documents(spark, tables)
+    before, rows = spark.conf.get(name), lambda: sorted(str(r.asDict()) for r in docs.select(F.to_json(F.struct("*")).alias("v")).collect())
+    plain = rows()
+    with raw.one_by_one(spark):
+        assert spark.conf.get(name) == "1"
+        docs = fixtures.feed_documents(spark, tables)
+        spark.conf.set(name, "1")  # configure() sets the session's own
+        assert rows() == plain and plain
+    assert spark.conf.get(name) == before
+    raw.write_feed(docs, f"{tmp_path}/zone", dealt=True)
+    assert spark.conf.get(name) == before and raw.read_feed(spark, f"{tmp_path}/zone").count() == len(plain)
