@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gamelake.plans import q_silver_gold as SG
 from gamelake.sources import fixtures, raw
 
 
@@ -35,6 +36,10 @@ def plan(spark):
     spark.conf.set(name, before)
 
 
+def same(a, b) -> bool:
+    return sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())) and a.count() > 0
+
+
 def test_documents_are_collected_from_sorted_plain_rows(spark, tables, plan):
     docs = fixtures.feed_documents(spark, tables)  # sets the session's own settings
     with raw.one_by_one(spark):
@@ -52,3 +57,13 @@ def test_documents_are_collected_from_sorted_plain_rows(spark, tables, plan):
     docs = fixtures.feed_documents(spark, tables)
     assert "ObjectHashAggregate" in "".join(plan(docs))
     assert one_by_one == sorted(map(str, docs.select(F.to_json(F.struct("*"))).collect())) and one_by_one
+
+
+def test_games_are_dealt_plain(spark, tables, plan):
+    lines = plan(fixtures.games_by_game(spark, tables))
+    at = next(i for i, x in enumerate(lines) if "REPARTITION_BY_COL" in x)
+    assert any("games.example" in x for x in lines[:at]) and not any("games.example" in x for x in lines[at:])
+    assert not any("l_extendedprice" in x or "l_shipdate" in x for x in lines[:at])
+    games = fixtures.view(spark, tables, "fx_games").filter("game_uuid is not null")
+    assert fixtures.games_by_game(spark, tables).schema == games.schema and same(fixtures.games_by_game(spark, tables), games)
+    assert "games.example" not in "\n".join(plan(SG.stg_games_by_game(spark, tables))).split("REPARTITION_BY_COL")[1]
