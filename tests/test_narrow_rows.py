@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gamelake.operators import bronze
+from gamelake.plans import q_bronze
 from gamelake.sources import fixtures
 
 
@@ -36,3 +38,16 @@ def test_tie_breaks_are_carried_where_there_is_a_tie(spark, tables):
         "year", "month", F.regexp_extract("raw_key", r"username=([^/]+)\.json$", 1).alias("feed"), "pos", "uuid", "url", "time_class", "rated", "eco",
         F.col("white_rating").alias("r"))
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect()))) and got.count() > 10
+
+
+def test_merge_shuffles_what_a_query_reads(spark, tables):
+    name = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000")
+    try:
+        merged = bronze.merge_games(bronze.explode_feed(q_bronze.feed(spark, tables)))
+        for read, sides, about in ((["white", "black"], True, False), (["year", "has_pgn"], False, False), (["end_time", "eco"], False, True)):
+            text = merged.select(*read)._jdf.queryExecution().executedPlan().toString()
+            assert ("partial_min_by(struct(white" in text, "partial_min_by(struct(uuid" in text) == (sides, about), (read, text)
+    finally:
+        spark.conf.set(name, before)
