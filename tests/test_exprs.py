@@ -108,3 +108,23 @@ def test_month_key_and_filters(spark):
     assert df.filter(X.month_filter("2024-02")).count() == 1
     assert df.filter(X.month_filter(months=["2024-02", "2024-12"])).count() == 2
     assert df.filter(X.month_filter()).count() == 2
+
+
+def test_bucket_text_is_padded_to_two_digits(spark):
+    """Against the formatter, with more buckets than two digits name, and null."""
+    df = spark.range(400).select(F.when(F.col("id") % 50 > 0, F.col("id").cast("string")).alias("v"))
+    for n in (1, 7, 16, 256):
+        h = F.conv(F.substring(F.md5("v"), 1, 8), 16, 10).cast("bigint") % n
+        assert df.filter(~X.hash_bucket("v", n).eqNullSafe(F.format_string("%02d", h))).count() == 0
+
+
+def test_accuracies_are_parsed_once(spark):
+    from gamelake.operators import bronze
+    side = F.struct(F.lit("a").alias("username"), F.lit("1").alias("rating"), F.lit("win").alias("result"))
+    games = spark.createDataFrame([(x,) for x in ('{"white": 81.5, "black": "70"}', "{}", "null", "[1]", None, "12")], "accuracies string").select(
+        "accuracies", side.alias("white"), side.alias("black"), F.lit(True).alias("rated"), F.array(F.lit("u")).alias("source_player_usernames"),
+        *[F.lit("x").alias(c) for c in ("year", "month", "game_key", "url", "end_time", "time_class", "time_control", "rules", "eco", "initial_setup", "fen")],
+        *[F.lit(True).alias(c) for c in ("has_pgn", "has_tcn")], *[F.lit(1).alias(c) for c in ("source_key_count", "source_player_count")])
+    core = bronze.games_core_rows(games).select("has_accuracies", "white_accuracy", "black_accuracy")
+    assert core._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    assert [tuple(r) for r in core.collect()] == [(True, 81.5, 70.0), *[(False, None, None)] * 5]
